@@ -218,13 +218,13 @@ def provider_report(star: Star, n: int = 60) -> DataFrame:
         F.desc_nulls_last("total_billed"), "provider_id").limit(n)
 
 
-def drill_through(star: Star, column: str, value: str, columns: list[str] | None = None) -> DataFrame:
-    """All claims of one provider or member. The key is found in the dimension first, and the fact
-    is filtered by its surrogate key through a semi-join."""
+def drill_through(star: Star, column: str, keys: str | DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """All claims of one provider or member, or of a frame of them. The keys are found in the
+    dimension first, and the fact is cut by surrogate key through a semi-join."""
     dim, sk = {"provider_id": ("dim_provider", "provider_sk"), "member_id": ("dim_member", "member_sk")}[column]
-    keys = star[dim].filter(F.col(column) == value).select(sk)
+    found = star[dim].filter(F.col(column) == keys) if isinstance(keys, str) else star[dim].join(keys, column, "left_semi")
     cut = dict(star)
-    cut["fct_claim_header"] = star["fct_claim_header"].join(keys, sk, "left_semi")
+    cut["fct_claim_header"] = star["fct_claim_header"].join(found.select(sk), sk, "left_semi")
     return enriched(cut, columns)
 
 
