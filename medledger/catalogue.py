@@ -18,6 +18,7 @@ from medledger.plans.pipeline import layer_counts
 from medledger.plans.views import STAR_VIEWS, smoke_check
 from medledger.quality import assertions, engine
 from medledger.sources.derive import injected_defects
+from medledger.sources.lake import MONTH
 from medledger.sources.landing import ingest_audit, read_text_csv, reconcile, union_all, write_text_csv
 from medledger.sources.schemas import RAW_TABLES
 
@@ -139,7 +140,7 @@ def _(c):
 
 
 def _stored(name: str) -> None:
-    query(name)(lambda c: c.marts[name])
+    query(name)(lambda c: c.marts[name].drop(MONTH))
 
 
 for _t in ("dim_member", "dim_provider", "dim_employer_group", "dim_policy", "dim_diagnosis", "dim_procedure",

@@ -1,7 +1,8 @@
 """Global ranks and running totals that no single task has to hold.
 
-A window without a partition key sends every row to one task. Here rows are cut into ranges of the
-order column by quantiles, each range is ranked on its own, and the ranges' totals (a few dozen
+A window without a partition key sends every row to one task, which is fine for a result whose
+size was counted (``SMALL`` rows) and wrong for any other. Beyond that, rows are cut into ranges of
+the order column by quantiles, each range is ranked on its own, and the ranges' totals (a few dozen
 rows) shift the results. The cut points only balance the work: any cut points give the same answer.
 """
 
@@ -13,6 +14,7 @@ from pyspark.sql import functions as F
 from medledger.session import settle
 
 MAX_RANGES = 64
+SMALL = 100_000
 
 
 def cut_points(df: DataFrame, value: str, ranges: int) -> list[float]:
@@ -49,21 +51,27 @@ def running_totals(df: DataFrame, value: str, sums: list[str], ties: list[Column
 
 
 def ranked_running_sum(df: DataFrame, value: str, tie_id: str, rank_name: str, total_name: str,
-                       ranges: int = MAX_RANGES) -> DataFrame:
+                       small: int = SMALL, ranges: int = MAX_RANGES) -> DataFrame:
     """``row_number`` and running sum of ``value``, highest first, over the whole of ``df``.
 
     The order among equal values is by the MD5 of ``tie_id``, then ``tie_id``. Equal values are
     folded into 256 hash slots first, so even a value shared by a third of the rows is spread out.
     """
-    slot = F.md5(F.col(tie_id).cast("string"))
-    rows = settle(df.withColumn("_slot", F.coalesce(F.substring(slot, 1, 2), F.lit("~"))))
+    digest = F.md5(F.col(tie_id).cast("string"))
+    rows = settle(df.withColumn("_slot", F.coalesce(F.substring(digest, 1, 2), F.lit("~"))))
+    if rows.count() <= small:
+        order = Window.orderBy(F.col(value).desc_nulls_last(), "_slot", digest, tie_id)
+        so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return rows.withColumns({
+            rank_name: F.row_number().over(order).cast("bigint"), total_name: F.sum(value).over(so_far)}).drop("_slot")
+
     folded = settle(rows.groupBy(value, "_slot").agg(
         F.count(F.lit(1)).cast("bigint").alias("_n"), F.sum(value).alias("_sum")))
     marks = running_totals(folded, value, ["_n", "_sum"], [F.col("_slot")], ranges)
     marks = marks.select(F.col(value).alias("_mark"), F.col("_slot").alias("_mark_slot"),
                          (F.col("_n_through") - F.col("_n")).alias("_n_before"),
                          (F.col("_sum_through") - F.coalesce(F.col("_sum"), F.lit(0))).alias("_sum_before"))
-    place = Window.partitionBy(value, "_slot").orderBy(slot, tie_id)
+    place = Window.partitionBy(value, "_slot").orderBy(digest, tie_id)
     local = rows.withColumn("_place", F.row_number().over(place))
     j = local.join(marks, F.col(value).eqNullSafe(F.col("_mark")) & (F.col("_slot") == F.col("_mark_slot")))
     return (
@@ -74,9 +82,17 @@ def ranked_running_sum(df: DataFrame, value: str, tie_id: str, rank_name: str, t
     )
 
 
-def add_rank(df: DataFrame, value: str, rank_name: str, ranges: int = MAX_RANGES) -> DataFrame:
-    """SQL ``rank()`` of ``value``, highest first: one more than the rows strictly above."""
-    values = settle(df.groupBy(value).agg(F.count(F.lit(1)).cast("bigint").alias("_n")))
-    marks = running_totals(values, value, ["_n"], [], ranges).select(
-        F.col(value).alias("_mark"), (F.col("_n_through") - F.col("_n") + 1).alias(rank_name))
-    return df.join(marks, F.col(value).eqNullSafe(F.col("_mark"))).drop("_mark")
+def add_ranks(df: DataFrame, ranks: dict[str, str], small: int = SMALL, ranges: int = MAX_RANGES) -> DataFrame:
+    """SQL ``rank()``, highest first, of each value column in ``ranks`` (value -> rank name):
+    one more than the rows strictly above."""
+    rows = settle(df)
+    if rows.count() <= small:
+        return rows.withColumns({
+            name: F.rank().over(Window.orderBy(F.col(v).desc_nulls_last())).cast("bigint") for v, name in ranks.items()})
+    out = rows
+    for value, name in ranks.items():
+        values = settle(rows.groupBy(value).agg(F.count(F.lit(1)).cast("bigint").alias("_n")))
+        marks = running_totals(values, value, ["_n"], [], ranges).select(
+            F.col(value).alias("_mark"), (F.col("_n_through") - F.col("_n") + 1).alias(name))
+        out = out.join(marks, F.col(value).eqNullSafe(F.col("_mark"))).drop("_mark")
+    return out

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medledger.functions import mean_of, ratio
-from medledger.plans.enriched import Star, enriched, look_up
+from medledger.plans.enriched import Star, enriched, look_up, submitted_between
 from medledger.plans.financial import rows, v_financial_monthly, v_mlr_by_group
 from medledger.plans.network import provider_totals, v_network_cost_diff, v_provider_concentration, v_provider_scorecard
 from medledger.plans.operations import quantile
@@ -28,11 +28,8 @@ class Filters:
     networks: tuple[str, ...] = ()
 
     def condition(self) -> Column:
+        """The value selections; the date range is cut on the fact's own keys."""
         out = F.lit(True)
-        if self.date_from:
-            out = out & (F.col("claim_date") >= F.lit(self.date_from).cast("date"))
-        if self.date_to:
-            out = out & (F.col("claim_date") <= F.lit(self.date_to).cast("date"))
         for column, values in (("employer_name", self.employers), ("claim_type", self.claim_types),
                                ("member_city", self.cities), ("network_status", self.networks)):
             if values:
@@ -40,7 +37,7 @@ class Filters:
         return out
 
     def reads(self) -> list[str]:
-        out = ["claim_date"] if self.date_from or self.date_to else []
+        out = []
         for column, values in (("employer_name", self.employers), ("claim_type", self.claim_types),
                                ("member_city", self.cities), ("network_status", self.networks)):
             if values:
@@ -51,16 +48,14 @@ class Filters:
 def filtered(star: Star, filters: Filters | None, columns: list[str]) -> DataFrame:
     """The enriched claims a page works on, with its filter below the aggregation."""
     f = filters or Filters()
+    star = {**star, "fct_claim_header": submitted_between(star["fct_claim_header"], f.date_from, f.date_to)}
     extra = [c for c in f.reads() if c not in columns]
     return enriched(star, [*columns, *extra]).filter(f.condition()).select(*columns)
 
 
 def claims_between(star: Star, date_from: str, date_to: str, columns: list[str] | None = None) -> DataFrame:
-    """Parameterised date-range read. The bound is also put on the fact's own integer key, so
-    Parquet row groups outside the range are skipped without looking at the calendar."""
-    lo, hi = int(date_from.replace("-", "")), int(date_to.replace("-", ""))
-    cut = dict(star)
-    cut["fct_claim_header"] = star["fct_claim_header"].filter(F.col("submission_date_key").between(lo, hi))
+    """Parameterised date-range read with plain numeric amounts."""
+    cut = {**star, "fct_claim_header": submitted_between(star["fct_claim_header"], date_from, date_to)}
     c = enriched(cut, columns)
     return c.withColumns({a: F.col(a).cast("double") for a in (
         "billed_amount_pkr", "approved_amount_pkr", "paid_amount_pkr") if a in c.columns})
@@ -223,8 +218,7 @@ def drill_through(star: Star, column: str, keys: str | DataFrame, columns: list[
     dimension first, and the fact is cut by surrogate key through a semi-join."""
     dim, sk = {"provider_id": ("dim_provider", "provider_sk"), "member_id": ("dim_member", "member_sk")}[column]
     found = star[dim].filter(F.col(column) == keys) if isinstance(keys, str) else star[dim].join(keys, column, "left_semi")
-    cut = dict(star)
-    cut["fct_claim_header"] = star["fct_claim_header"].join(found.select(sk), sk, "left_semi")
+    cut = {**star, "fct_claim_header": star["fct_claim_header"].join(found.select(sk), sk, "left_semi")}
     return enriched(cut, columns)
 
 

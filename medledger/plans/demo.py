@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from medledger.operators.staging import stage
 from medledger.plans.pipeline import build_marts, staged_models
 from medledger.quality import engine
-from medledger.session import tune, work_root
+from medledger.session import size_shuffles, tune, work_root
 from medledger.sources.derive import StarSource
 from medledger.sources.lake import Lake
 from medledger.sources.schemas import RAW_TABLES
@@ -27,6 +27,7 @@ class ClaimsLake:
 
     @cached_property
     def raw(self) -> dict[str, DataFrame]:
+        size_shuffles(self.spark, *(self.source.star(t) for t in ("orders", "lineitem")))
         return {t: self.lake.replace("raw", t, self.source.table(t)) for t in RAW_TABLES}
 
     @cached_property

@@ -7,6 +7,8 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from medledger.sources.lake import MONTH
+
 Star = Mapping[str, DataFrame]
 
 # column of the enriched claim -> column of the dimension that supplies it
@@ -77,5 +79,18 @@ def enriched(star: Star, columns: list[str] | None = None, on_date: str = "submi
     return look_up(with_flags(star["fct_claim_header"]), star, columns, on_date).select(*columns)
 
 
+def submitted_between(fact: DataFrame, date_from: str | None, date_to: str | None) -> DataFrame:
+    """Cut a fact by submission date, both ends inclusive, on its own keys: whole months are pruned
+    as folders and the rest is a pushed integer comparison; the calendar is not needed for it."""
+    bounds = [(">=", date_from), ("<=", date_to)]
+    for op, day in bounds:
+        if day:
+            key = int(day.replace("-", ""))
+            fact = fact.filter(f"submission_date_key {op} {key}")
+            if MONTH in fact.columns:
+                fact = fact.filter(f"{MONTH} {op} {key // 100}")
+    return fact
+
+
 def v_claims_enriched(star: Star) -> DataFrame:
     return enriched(star)

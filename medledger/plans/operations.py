@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medledger.functions import ageing_bucket, days_between, mean_of
-from medledger.operators.ranking import add_rank
+from medledger.operators.ranking import add_ranks
 from medledger.plans.enriched import Star, enriched
 from medledger.plans.financial import rows
 from medledger.sources.schemas import OPEN_STATUSES, WINDOW_END
@@ -42,8 +42,7 @@ def v_denial_reasons(star: Star) -> DataFrame:
     denied = star["fct_claim_header"].filter((F.col("status") == "Denied") & F.col("denial_reason_code").isNotNull())
     by_code = denied.groupBy("denial_reason_code").agg(
         rows().alias("denial_count"), F.sum("billed_amount_pkr").alias("denied_billed_pkr"))
-    ranked = add_rank(by_code, "denial_count", "rank_by_frequency")
-    ranked = add_rank(ranked, "denied_billed_pkr", "rank_by_value")
+    ranked = add_ranks(by_code, {"denial_count": "rank_by_frequency", "denied_billed_pkr": "rank_by_value"})
     return ranked.orderBy(F.desc_nulls_last("denial_count"), "denial_reason_code")
 
 

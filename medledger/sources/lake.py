@@ -6,6 +6,9 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+MONTH = "submission_month"
 
 
 @dataclass(frozen=True)
@@ -23,6 +26,14 @@ class Lake:
         df.write.mode("overwrite").parquet(self.path(layer, name))
         return self.read(layer, name)
 
+    def replace_by_month(self, layer: str, name: str, df: DataFrame, date_key: str) -> DataFrame:
+        """Store a fact in one folder per month of its yyyymmdd key, so a date range reads only its
+        months. The rebalance splits a month that is too big for one task and merges small ones."""
+        keyed = df.withColumn(MONTH, (F.col(date_key) / 100).cast("int"))
+        (keyed.hint("rebalance", MONTH).write.mode("overwrite").option("partitionOverwriteMode", "static")
+              .partitionBy(MONTH).parquet(self.path(layer, name)))
+        return self.read(layer, name)
+
     def replace_partition(self, layer: str, name: str, df: DataFrame, by: str) -> DataFrame:
         """Append by partition; writing the same partition again replaces it."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
