@@ -15,91 +15,95 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def text_or_null(c: Column | str) -> Column:
+def name(c: str) -> str:
+    return f"`{c}`"
+
+
+# The row-level helpers take column names and are single SQL expressions: one call to the JVM each,
+# where the same thing as a tree of Column calls takes dozens, for every column of every table.
+
+
+def text_or_null(c: str) -> Column:
     """Raw text marks a missing value with an empty string."""
-    return F.nullif(_col(c), F.lit(""))
+    return F.expr(f"nullif({name(c)}, '')")
 
 
-def parse_number(c: Column | str, to: str = MONEY) -> Column:
+def parse_number(c: str, to: str = MONEY) -> Column:
     """Text to number; empty or unparseable text gives NULL, never an error."""
-    return text_or_null(c).try_cast(to)
+    return F.expr(f"try_cast(nullif({name(c)}, '') AS {to})")
 
 
-def parse_int(c: Column | str) -> Column:
-    return text_or_null(c).try_cast("int")
+def parse_int(c: str) -> Column:
+    return parse_number(c, "int")
 
 
-def parse_flag(c: Column | str) -> Column:
-    return F.lower(_col(c)) == "true"
+def parse_flag(c: str) -> Column:
+    return F.expr(f"lower({name(c)}) = 'true'")
 
 
-def parse_date(c: Column | str) -> Column:
+def date_sql(s: str) -> str:
     """Three layouts: an ISO prefix (timestamps pass), dd/mm/yyyy and dd-mm-yyyy; else NULL.
 
-    Each layout is rebuilt as ISO text and cast, so no pattern formatter runs per row and an
-    impossible date such as 31/02 is NULL.
+    The layout is told apart by its separators, each is rebuilt as ISO text and cast, so neither a
+    regular expression nor a pattern formatter runs per row. The cast itself rejects non-digits and
+    impossible dates such as 31/02; only a one-digit day, which it would accept, is checked here.
     """
-    s = _col(c)
-    day_first = F.concat(s.substr(7, 4), F.lit("-"), s.substr(4, 2), F.lit("-"), s.substr(1, 2))
-    iso = F.when(s.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"), s.substr(1, 10)).when(
-        s.rlike(r"^[0-9]{2}(/[0-9]{2}/|-[0-9]{2}-)[0-9]{4}$"), day_first
-    )
-    return iso.try_cast("date")
+    return f"""try_cast(CASE
+        WHEN substr({s}, 5, 1) = '-' AND substr({s}, 8, 1) = '-' AND substr({s}, 10, 1) BETWEEN '0' AND '9'
+        THEN substr({s}, 1, 10)
+        WHEN length({s}) = 10 AND substr({s}, 3, 1) IN ('/', '-') AND substr({s}, 3, 1) = substr({s}, 6, 1)
+             AND substr({s}, 2, 1) BETWEEN '0' AND '9'
+        THEN concat(substr({s}, 7, 4), '-', substr({s}, 4, 2), '-', substr({s}, 1, 2))
+    END AS date)"""
+
+
+def parse_date(c: str) -> Column:
+    return F.expr(date_sql(name(c)))
 
 
 def register_sql_functions(spark: SparkSession) -> None:
     """The same parser for SQL text: a SQL UDF, which Catalyst inlines."""
-    spark.sql(r"""
+    spark.sql(f"""
         CREATE OR REPLACE TEMPORARY FUNCTION parse_claim_date(s STRING) RETURNS DATE
-        RETURN TRY_CAST(CASE
-            WHEN s RLIKE '^[0-9]{4}-[0-9]{2}-[0-9]{2}' THEN substr(s, 1, 10)
-            WHEN s RLIKE '^[0-9]{2}(/[0-9]{2}/|-[0-9]{2}-)[0-9]{4}$'
-            THEN concat(substr(s, 7, 4), '-', substr(s, 4, 2), '-', substr(s, 1, 2))
-        END AS DATE)
+        RETURN {date_sql('s')}
     """)
 
 
-def canonical_city(c: Column | str) -> Column:
+def canonical_city(c: str) -> Column:
     """Trimmed text with a capital after every character that is neither letter nor digit.
 
     Spark's own ``initcap`` starts a word only after white space, so `al-shifa` would stay
     `Al-shifa`; the split below keeps each separator at the end of the piece before it.
     """
-    s = F.lower(F.trim(_col(c)))
-
-    def capital(piece: Column) -> Column:
-        return F.concat(F.upper(piece.substr(1, 1)), F.substring(piece, 2, 2_000_000_000))
-
-    pieces = F.split(s, r"(?<=[^\p{L}\p{N}])", -1)
-    return F.when(s.rlike(r"[^\p{L}\p{N}]"), F.array_join(F.transform(pieces, capital), "")).otherwise(
-        capital(s)
-    )
+    low = f"lower(trim({name(c)}))"
+    return F.expr(rf"""CASE WHEN {low} RLIKE r'[^\p{{L}}\p{{N}}]' THEN
+        array_join(transform(split({low}, r'(?<=[^\p{{L}}\p{{N}}])', -1), p -> concat(upper(left(p, 1)), substr(p, 2))), '')
+        ELSE concat(upper(left({low}, 1)), substr({low}, 2)) END""")
 
 
-def surrogate_key(*cols: Column | str) -> Column:
-    parts = [F.coalesce(_col(c).cast("string"), F.lit("_null_")) for c in cols]
-    return F.md5(F.concat_ws("|", *parts))
+def surrogate_key(*cols: str) -> Column:
+    parts = ", ".join(f"coalesce(cast({name(c)} AS string), '_null_')" for c in cols)
+    return F.expr(f"md5(concat_ws('|', {parts}))")
 
 
-def date_key(c: Column | str) -> Column:
+def date_key(c: str) -> Column:
     """Date to a yyyymmdd integer, by arithmetic rather than by a formatter."""
-    d = _col(c)
-    return F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)
+    d = name(c)
+    return F.expr(f"year({d}) * 10000 + month({d}) * 100 + day({d})")
 
 
-def date_of_key(c: Column | str) -> Column:
-    k = _col(c)
-    return F.make_date((k / 10000).cast("int"), ((k / 100).cast("int")) % 100, k % 100)
+def date_of_key(c: str) -> Column:
+    k = name(c)
+    return F.expr(f"make_date({k} div 10000, {k} div 100 % 100, {k} % 100)")
 
 
 def days_between(later: Column | str, earlier: Column | str) -> Column:
     return F.datediff(_col(later), _col(earlier))
 
 
-def age_in_years(birth: Column, as_of: str) -> Column:
+def age_in_years(birth: str, as_of: str) -> Column:
     """Whole multiples of 365 days, truncated; not calendar years."""
-    days = F.datediff(F.lit(as_of).cast("date"), birth)
-    return (days / 365).cast("int")
+    return F.expr(f"int(datediff(date '{as_of}', {name(birth)}) div 365)")
 
 
 def age_band(age: Column | str) -> Column:

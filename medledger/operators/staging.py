@@ -49,13 +49,23 @@ TYPED = {
 }
 
 
+def parsed_twin(c: str) -> str:
+    return f"{c}|parsed"
+
+
+def with_parsed(table: str, raw: DataFrame) -> DataFrame:
+    """The raw text columns with a parsed twin next to each date and number."""
+    twins = {c: k for c, k in TYPED[table].items() if k in (DATE, NUMBER, INT, SHARE)}
+    return raw.select("*", *[_CONVERT[k](c).alias(parsed_twin(c)) for c, k in twins.items()])
+
+
 def stage(table: str, raw: DataFrame) -> DataFrame:
     kinds = TYPED[table]
     out = raw.select(*[
         _CONVERT[kinds[c]](c).alias(c) if c in kinds else F.col(c) for c in RAW_COLUMNS[table]
     ])
     if table == "members":
-        out = out.withColumn("age_years", age_in_years(F.col("date_of_birth"), WINDOW_END))
+        out = out.withColumn("age_years", age_in_years("date_of_birth", WINDOW_END))
     return out
 
 

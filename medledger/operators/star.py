@@ -45,7 +45,7 @@ def dim_date(spark: SparkSession) -> DataFrame:
     iso_day = F.weekday(d) + 1
     fiscal = F.add_months(d, 6)  # the fiscal year starts in July
     return date_spine(spark).select(
-        date_key(d).alias("date_key"),
+        date_key("date_day").alias("date_key"),
         "date_day",
         F.year(d).alias("calendar_year"),
         F.quarter(d).alias("calendar_quarter"),

@@ -19,8 +19,8 @@ from enum import StrEnum
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from medledger.functions import canonical_city, days_between, parse_date, parse_number
-from medledger.functions.scalars import SHARE
+from medledger.functions import canonical_city, days_between
+from medledger.operators.staging import parsed_twin
 from medledger.sources.schemas import (
     ADJUDICATION_MODES,
     CLAIM_STATUSES,
@@ -101,6 +101,12 @@ class Rule:
 
 
 # -- predicate building blocks ---------------------------------------------------
+# A check reads raw text by column name and the parsed value through ``parsed``; the engine adds
+# the parsed columns once per row, however many checks use them.
+def parsed(c: str) -> Column:
+    return F.col(f"`{parsed_twin(c)}`")
+
+
 def missing(c: str) -> RowCheck:
     return RowCheck(lambda: F.col(c).isNull() | (F.col(c) == ""))
 
@@ -120,15 +126,15 @@ def given(*cols: str) -> Column:
 
 
 def earlier(c: str, than: str) -> Column:
-    return parse_date(c) < parse_date(than)
+    return parsed(c) < parsed(than)
 
 
 def more_days_than(later: str, since: str, limit: int) -> RowCheck:
-    return RowCheck(lambda: given(later, since) & (days_between(parse_date(later), parse_date(since)) > limit))
+    return RowCheck(lambda: given(later, since) & (days_between(parsed(later), parsed(since)) > limit))
 
 
 def exceeds(c: str, limit_col: str) -> RowCheck:
-    return RowCheck(lambda: parse_number(c) > parse_number(limit_col))
+    return RowCheck(lambda: parsed(c) > parsed(limit_col))
 
 
 def untidy_city(c: str = "city") -> RowCheck:
@@ -136,7 +142,7 @@ def untidy_city(c: str = "city") -> RowCheck:
 
 
 def _implausible_age() -> Column:
-    dob, end = parse_date("date_of_birth"), F.lit(WINDOW_END).cast("date")
+    dob, end = parsed("date_of_birth"), F.lit(WINDOW_END).cast("date")
     return dob.isNull() | (dob > end) | (days_between(end, dob) > MAX_AGE * 365)
 
 
@@ -147,13 +153,13 @@ def _denial_mismatch() -> Column:
 
 
 def _copay_out_of_range() -> Column:
-    c = parse_number("copay_pct", SHARE)
+    c = parsed("copay_pct")
     return (c < 0) | (c > 1)
 
 
 def _line_off() -> Column:
-    expected = parse_number("unit_price_pkr") * parse_number("quantity")
-    return F.abs(parse_number("line_billed_pkr") - expected) > 1
+    expected = parsed("unit_price_pkr") * parsed("quantity")
+    return F.abs(parsed("line_billed_pkr") - expected) > 1
 
 
 H, L, M, P, O, G = "claims_header", "claims_lines", "members", "providers", "policies", "employer_groups"
@@ -182,7 +188,7 @@ RULES: list[Rule] = [
     Rule("V-POL-TIER", "Plan tier is valid", _V, LOW, O, "plan_tier", not_one_of("plan_tier", PLAN_TIERS)),
     Rule("V-POL-COPAY", "Copay percentage in range", _V, LOW, O, "copay_pct", RowCheck(_copay_out_of_range)),
     Rule("V-HDR-DATEPARSE", "Submission date is parseable", _V, MED, H, "submission_date",
-         RowCheck(lambda: given("submission_date") & parse_date("submission_date").isNull())),
+         RowCheck(lambda: given("submission_date") & parsed("submission_date").isNull())),
     Rule("V-MBR-AGE", "Member age is plausible", _V, HIGH, M, "date_of_birth", RowCheck(_implausible_age)),
     Rule("K-HDR-DISCHARGE", "Discharge is not before admission", _K, HIGH, H, "discharge_date",
          RowCheck(lambda: earlier("discharge_date", "admission_date"))),
@@ -202,7 +208,7 @@ RULES: list[Rule] = [
     Rule("A-HDR-PAID-APPR", "Paid not greater than approved", _A, HIGH, H, "paid_amount_pkr",
          exceeds("paid_amount_pkr", "approved_amount_pkr")),
     Rule("A-HDR-NONNEG", "Billed amount is positive", _A, HIGH, H, "billed_amount_pkr",
-         RowCheck(lambda: parse_number("billed_amount_pkr") <= 0)),
+         RowCheck(lambda: parsed("billed_amount_pkr") <= 0)),
     Rule("A-LINE-MATH", "Line billed equals price x quantity", _A, LOW, L, "line_billed_pkr", RowCheck(_line_off)),
     Rule("T-HDR-ADJ-LAG", "Adjudication within SLA", _T, LOW, H, "adjudication_date",
          more_days_than("adjudication_date", "submission_date", 60)),

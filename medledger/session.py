@@ -14,10 +14,19 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # HotSpot does not compile methods above 8,000 bytecodes; wide typed projections exceed that in
+    # whole-stage code and run faster as split projections.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # A re-run of one data-quality run replaces only that run's partition.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# Fixed once a session has started, so only for sessions of our own.
+START_SETTINGS = {
+    # Stack traces per column expression cost more than planning does.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+}
+
 _WORK_ROOTS: dict[str, str] = {}
 
 
@@ -30,7 +39,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         b = b.config("spark.driver.memory", driver_memory)
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in RUNTIME_SETTINGS.items():
+    for k, v in {**START_SETTINGS, **RUNTIME_SETTINGS}.items():
         b = b.config(k, v)
     return b.getOrCreate()
 
@@ -64,6 +73,13 @@ def size_shuffles(spark: SparkSession, *inputs: DataFrame, expansion: float = 3.
     return max(now, wanted)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small input out over the cores when it has fewer splits than there are cores; a large
+    input has more and is returned as it is."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def work_root(spark: SparkSession) -> str:
     """A folder of this application's own under the cluster's shared checkpoint folder.
 
