@@ -19,6 +19,8 @@ SMALL = 100_000
 
 def cut_points(df: DataFrame, value: str, ranges: int) -> list[float]:
     probs = [i / ranges for i in range(1, ranges)]
+    if not probs:
+        return []
     found = df.select(F.col(value).cast("double").alias("v")).filter("v is not null").approxQuantile("v", probs, 0.5 / ranges)
     return sorted(set(found))
 

@@ -14,7 +14,7 @@ SF_DIR = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", 4, "6g", app="medledger-tests")
+    s = build_session("local[8]", 2, "6g", app="medledger-tests")
     s.sparkContext.setLogLevel("ERROR")
     return s
 
