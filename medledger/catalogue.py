@@ -19,7 +19,7 @@ from medledger.plans.views import STAR_VIEWS, smoke_check
 from medledger.quality import assertions, engine
 from medledger.sources.derive import injected_defects
 from medledger.sources.lake import MONTH
-from medledger.sources.landing import ingest_audit, read_text_csv, reconcile, union_all, write_text_csv
+from medledger.sources.landing import ingest_audit, read_text_csv, reconcile, write_text_csv
 from medledger.sources.schemas import RAW_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -231,15 +231,7 @@ def _(c):
     return consumers.drill_through(c.marts, "member_id", frequent, ["member_id", *consumers.DETAIL_COLUMNS])
 
 
-@query("saved_filters")
-def _(c):
-    e = enriched(c.marts, ["status", "network_status", "billed_amount_pkr"])
-    parts = [
-        e.filter(cond).agg(F.count(F.lit(1)).alias("claim_count"), F.sum("billed_amount_pkr").alias("billed_pkr"))
-        .select(F.lit(name).alias("saved_filter"), "claim_count", "billed_pkr")
-        for name, cond in (("denied only", consumers.denied_only()), ("out-of-network only", consumers.out_of_network_only()))
-    ]
-    return union_all(parts)
+query("saved_filters")(lambda c: consumers.saved_filter_totals(c.marts))
 
 
 # -- data quality ----------------------------------------------------------------

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -13,6 +14,7 @@ from medledger.plans.financial import rows, v_financial_monthly, v_mlr_by_group
 from medledger.plans.network import provider_totals, v_network_cost_diff, v_provider_concentration, v_provider_scorecard
 from medledger.plans.operations import quantile
 from medledger.plans.risk import v_provider_anomaly
+from medledger.sources.landing import union_all
 from medledger.sources.schemas import FUNNEL_ORDER
 
 
@@ -62,19 +64,30 @@ def claims_between(star: Star, date_from: str, date_to: str, columns: list[str]
 
 
 def filter_domains(star: Star) -> DataFrame:
-    """What the page filters offer: bounds of the claim date and the sorted values of four columns."""
-    c = enriched(star, ["claim_date", "employer_name", "claim_type", "member_city", "network_status"])
-    names = ["employer_name", "claim_type", "member_city", "network_status"]
-    # One pass: each row becomes (filter, value) pairs and equal pairs are folded map-side.
-    pairs = c.select(F.explode(F.array(
-        *[F.struct(F.lit(n).alias("filter"), F.col(n).alias("value")) for n in names],
-        F.struct(F.lit("claim_date").alias("filter"), F.col("claim_date").cast("string").alias("value")),
-    )).alias("p")).select("p.*").filter(F.col("value").isNotNull()).distinct()
-    is_date = F.col("filter") == "claim_date"
-    bounds = pairs.filter(is_date).agg(F.min("value").alias("lo"), F.max("value").alias("hi")).select(
-        F.explode(F.array(F.struct(F.lit("claim_date_min").alias("filter"), F.col("lo").alias("value")),
-                          F.struct(F.lit("claim_date_max").alias("filter"), F.col("hi").alias("value")))).alias("p")).select("p.*")
-    return pairs.filter(~is_date).unionByName(bounds).orderBy("filter", "value")
+    """What the page filters offer: bounds of the claim date and the sorted values of four columns.
+
+    Each column reads one key column of the claims, folded to its distinct values before it meets
+    the dimension; the claims themselves are never joined.
+    """
+    claims = star["fct_claim_header"]
+
+    def seen(dim: str, key: str, fact_key: str | None = None) -> DataFrame:
+        keys = claims.select(F.col(fact_key or key).alias(key)).distinct()
+        return star[dim].join(keys, key, "left_semi")
+
+    def values(name: str, df: DataFrame, column: str) -> DataFrame:
+        return df.select(F.lit(name).alias("filter"), F.col(column).cast("string").alias("value")).distinct()
+
+    bounds = seen("dim_date", "date_key", "submission_date_key").agg(
+        F.min("date_day").alias("claim_date_min"), F.max("date_day").alias("claim_date_max"))
+    parts = [
+        values("employer_name", seen("dim_employer_group", "employer_group_sk"), "employer_name"),
+        values("claim_type", claims, "claim_type"),
+        values("member_city", seen("dim_member", "member_sk"), "city"),
+        values("network_status", seen("dim_provider", "provider_sk"), "network_status"),
+        bounds.unpivot([], bounds.columns, "filter", "value").withColumn("value", F.col("value").cast("string")),
+    ]
+    return union_all(parts).filter(F.col("value").isNotNull()).orderBy("filter", "value")
 
 
 def executive_monthly(star: Star, filters: Filters | None = None) -> DataFrame:
@@ -115,9 +128,12 @@ def value_counts(star: Star, column: str, filters: Filters | None = None) -> Dat
 
 
 def spend_by_city(star: Star, filters: Filters | None = None) -> DataFrame:
-    c = filtered(star, filters, ["member_city", "paid_amount_pkr"])
+    """Paid per member first, city second: a busy member is one row when it meets the member table."""
+    per_member = filtered(star, filters, ["member_sk", "paid_amount_pkr"]).groupBy("member_sk").agg(
+        F.sum("paid_amount_pkr").alias("paid"))
+    c = look_up(per_member, star, ["member_city"])
     return c.filter(F.col("member_city").isNotNull()).groupBy("member_city").agg(
-        F.sum("paid_amount_pkr").alias("paid_amount_pkr")).orderBy("paid_amount_pkr", "member_city")
+        F.sum("paid").alias("paid_amount_pkr")).orderBy("paid_amount_pkr", "member_city")
 
 
 def operations_headline(star: Star, filters: Filters | None = None) -> DataFrame:
@@ -228,3 +244,17 @@ def denied_only() -> Column:
 
 def out_of_network_only() -> Column:
     return F.col("network_status") == "Out-of-Network"
+
+
+SAVED_FILTERS: dict[str, Callable[[], Column]] = {"denied only": denied_only, "out-of-network only": out_of_network_only}
+
+
+def saved_filter_totals(star: Star) -> DataFrame:
+    """Count and billed under each saved filter, from one pass over the claims."""
+    e = enriched(star, ["status", "network_status", "billed_amount_pkr"])
+    one = e.agg(*[
+        F.struct(F.count_if(cond()).alias("claim_count"), F.sum(F.when(cond(), F.col("billed_amount_pkr"))).alias("billed_pkr"))
+        .alias(name) for name, cond in SAVED_FILTERS.items()])
+    return one.select(F.explode(F.array(*[
+        F.struct(F.lit(n).alias("saved_filter"), F.col(f"`{n}`.claim_count").alias("claim_count"),
+                 F.col(f"`{n}`.billed_pkr").alias("billed_pkr")) for n in SAVED_FILTERS])).alias("r")).select("r.*")

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from medledger.functions import mean_of, ratio
 from medledger.operators.cleaning import SIGNATURE
+from medledger.operators.joins import null_safe_join
 from medledger.operators.duplicates import repeated_signatures, signature_copies, spread_copies
 from medledger.plans.enriched import Star, look_up
 from medledger.plans.financial import rows
 from medledger.plans.network import provider_totals
+from medledger.session import settle
 
 IDS_PER_ROW = 100_000
 
@@ -19,7 +21,9 @@ def v_provider_anomaly(star: Star, sigmas: int = 2) -> DataFrame:
     """Mean claim value of a provider against all providers of its type."""
     t = provider_totals(star, rows().alias("claim_count"), mean_of("billed_amount_pkr").alias("avg_claim_value"))
     who = ["provider_id", "hospital_name", "provider_type", "network_status"]
-    p = look_up(t, star, who)
+    # Provider grain, read by the peer statistics and by the join: settled, so the claims are
+    # added up once (the two readers prune different columns and would not share a shuffle).
+    p = settle(look_up(t, star, who).select(*who, "claim_count", "avg_claim_value"))
     peers = p.groupBy("provider_type").agg(
         F.avg("avg_claim_value").alias("peer_mean"), F.stddev_pop("avg_claim_value").alias("peer_sd"))
     v, m, s = F.col("avg_claim_value"), F.col("peer_mean"), F.col("peer_sd")
@@ -52,8 +56,6 @@ def v_duplicate_candidates(raw_headers: DataFrame, ids_per_row: int = IDS_PER_RO
 def duplicate_claim_flag(raw_headers: DataFrame) -> DataFrame:
     """Every claim with 1 if its signature occurs more than once. Counted by aggregation and joined
     back, so a very common signature is never one window partition."""
-    from medledger.operators.joins import null_safe_join
-
     repeated = repeated_signatures(raw_headers).select(*SIGNATURE, F.lit(1).alias("duplicate_claim_flag"))
     j = null_safe_join(raw_headers.select("claim_id", *SIGNATURE), repeated, SIGNATURE, "left")
     return j.withColumn("duplicate_claim_flag", F.coalesce("duplicate_claim_flag", F.lit(0)))
@@ -64,7 +66,7 @@ def v_high_frequency_members(star: Star, sigmas: int = 2) -> DataFrame:
     per_sk = star["fct_claim_header"].groupBy("member_sk").agg(
         rows().alias("claim_count"), F.sum("paid_amount_pkr").alias("paid_pkr"))
     per_member = look_up(per_sk, star, ["member_id"]).select("member_id", "claim_count", "paid_pkr")
-    stats = per_member.agg(F.struct(
+    stats = per_sk.agg(F.struct(
         mean_of("claim_count").alias("mean_freq"), F.stddev_pop("claim_count").alias("sd_freq")).alias("s"))
     m = per_member.withColumn("_s", stats.scalar())
     mean, sd = F.col("_s.mean_freq"), F.col("_s.sd_freq")
@@ -88,7 +90,8 @@ def upcoding_proxy(star: Star) -> DataFrame:
     )
     total = per.groupBy("provider_sk").agg(F.sum("category_billed_pkr").alias("_total"))
     share = per.join(total, "provider_sk").withColumn("category_share", ratio("category_billed_pkr", "_total"))
-    p = look_up(share, star, ["provider_id", "provider_type"])
+    p = settle(look_up(share, star, ["provider_id", "provider_type"]).select(
+        "provider_id", "provider_type", "category", "category_billed_pkr", "category_share"))
     peers = p.groupBy("provider_type", "category").agg(
         F.avg("category_share").alias("peer_mean_share"), F.stddev_pop("category_share").alias("_sd"))
     return p.join(peers, ["provider_type", "category"]).select(
