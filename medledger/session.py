@@ -25,6 +25,8 @@ RUNTIME_SETTINGS = {
 START_SETTINGS = {
     # Stack traces per column expression cost more than planning does.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # Settled intermediate results are deleted once nothing refers to them.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 _WORK_ROOTS: dict[str, str] = {}
