@@ -74,9 +74,8 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
             smaller.select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
         )
         pairs = written(small, "links")
-        now = pairs.agg(
-            F.count("*").alias("n"), F.sum("v").alias("s"), F.bit_xor(F.xxhash64("u", "v")).alias("x")
-        ).first()
+        hashes = (F.bit_xor(F.xxhash64(*c)) for c in (("u", "v"), ("v", "u")))
+        now = tuple(pairs.agg(F.count("*"), *hashes).first())
         if now == mark:
             break
         mark = now

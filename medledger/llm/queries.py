@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, matrices, packing
+from medledger.llm import bpe, matrices, packing, simhash
 from medledger.llm.common import read_table
 
 
@@ -28,6 +28,11 @@ def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = matrices.packed_matrices(read_table(spark, sf_dir, "documents"))
     return packed.select(
@@ -46,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_sum_of_squares_packing,
         op5_bpe_transducer,
+        op6_simhash_variants,
         op10_packed_matrices,
     )
 }
