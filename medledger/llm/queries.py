@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, matrices, packing, simhash
+from medledger.llm import bpe, matrices, packing, secrets, simhash
 from medledger.llm.common import read_table
 
 
@@ -33,6 +33,20 @@ def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_credential_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = secrets.scan_secrets(docs, secrets.fit(docs))
+    said = F.transform("spans", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter(said, lambda x: ~x.startswith("format:"))
+    return found.select(
+        "doc_id",
+        *(count(k).alias(f"n_{k}") for k in secrets.KINDS),
+        F.sha2(F.array_join(base, ","), 256).alias("base_sha256"),
+        F.array_join(said, ",").alias("spans"),
+    )
+
+
 def op10_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = matrices.packed_matrices(read_table(spark, sf_dir, "documents"))
     return packed.select(
@@ -52,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_sum_of_squares_packing,
         op5_bpe_transducer,
         op6_simhash_variants,
+        op9_credential_automata,
         op10_packed_matrices,
     )
 }
