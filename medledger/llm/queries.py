@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, matrices, packing, secrets, simhash
+from medledger.llm import bpe, matrices, packing, quantised, secrets, simhash, topk
 from medledger.llm.common import read_table
 
 
@@ -18,6 +18,10 @@ def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quantised_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quantised.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode_documents(bpe.encode_documents(read_table(spark, sf_dir, "documents")))
     return coded.select(
@@ -33,6 +37,10 @@ def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op8_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op9_credential_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = secrets.scan_secrets(docs, secrets.fit(docs))
@@ -64,11 +72,27 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op2_sum_of_squares_packing,
+        op3_quantised_duplicates,
         op5_bpe_transducer,
         op6_simhash_variants,
+        op8_segment_topk,
         op9_credential_automata,
         op10_packed_matrices,
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op8_segment_topk": """
+        with whole as (
+            select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
+            from embeddings
+            where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), scored as (
+            select q.vec_id as query_id, c.vec_id, list_inner_product(q.v::double[], c.v::double[])::bigint as score
+            from whole q join whole c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id and len(q.v) = len(c.v)
+        )
+        select query_id, (row_number() over (partition by query_id order by score desc, vec_id))::int as "rank",
+            vec_id, score
+        from scored qualify "rank" <= 5
+    """,
+}

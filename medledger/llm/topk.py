@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from medledger.llm.vectors import matrix, vectors
 
-#: Components are whole numbers of at most so many units, so that every sum of products is exact in a double.
-MOST = 1 << 20
+#: Whole numbers below this are exact in a double.
+EXACT = float(1 << 53)
 
 
 def segment_statistics(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -69,6 +70,18 @@ class SegmentIndex:
             yield q, self.ids[alive[keep]], exact[keep]
 
 
+def _exact(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
+    """Scores of all candidates in whole numbers of any size, held to the range of a long."""
+    whole, limit = np.vectorize(int, otypes=[object])(x), (1 << 63) - 1
+    for q in range(len(queries)):
+        scores = whole[ids != own[q]] @ np.vectorize(int, otypes=[object])(queries[q])
+        yield q, ids[ids != own[q]], np.array([max(-limit, min(limit, s)) for s in scores], dtype=np.int64)
+
+
+def _blocks(n: str, size: int) -> Column:
+    return F.ceil(F.col(n) / size).cast("int")
+
+
 def top_k(
     table: DataFrame,
     is_query: Column,
@@ -88,49 +101,43 @@ def top_k(
 
     Vectors that are null or hold null, NaN or infinite components take no part; vectors meet only those with as many
     components; scores of empty vectors are 0. Rows that repeat a vec_id take part one by one, but none is its own
-    query's candidate. A null vec_id takes no part. A component of over MOST units is an error. No rows: no rows.
+    query's candidate. A null vec_id takes no part. Scores beyond a long are held to its range. No rows: no rows.
     """
-    rows = vectors(table, id_col, vector_col).join(  # which rows are queries is asked of the table itself
-        table.filter(is_query).select(table[id_col].cast("long").alias("id")).distinct().withColumn("asked", F.lit(True)),
-        "id",
-        "left",
-    ) if False else _rows(table, is_query, id_col, vector_col, scale)
-    queries = rows.filter("asked").withColumn("n", F.lit(1))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / query_block)).cast("int")
-    sizes = queries.groupBy("dim").agg(F.count("*").alias("n")).select("dim", blocks.alias("query_blocks"))
-    counts = rows.groupBy("dim").agg(F.count("*").alias("n")).select(
-        "dim", F.greatest(F.lit(1), F.ceil(F.col("n") / candidate_block)).cast("int").alias("blocks")
+    whole = F.transform("v", lambda x: F.floor(F.lit(scale) * x))
+    rows = (
+        vectors(table.withColumn("_asked", is_query), id_col, vector_col, F.col("_asked").alias("asked"))
+        .filter("id is not null")
+        .withColumn("v", F.transform(whole, lambda x: x.cast("double")))
     )
-    plan = F.broadcast(sizes.join(counts, "dim"))  # a row for each dimension that occurs
-    spread = F.xxhash64("id", "v")
-    asked = (
-        queries.join(plan, "dim")
-        .withColumn("q", F.pmod(spread, "query_blocks"))
-        .withColumn("c", F.explode(F.expr("sequence(0, blocks - 1)")))
-    )
-    offered = (
-        rows.join(plan, "dim")
-        .withColumn("c", F.pmod(F.xxhash64("v", "id"), "blocks").cast("int"))
-        .withColumn("q", F.explode(F.expr("sequence(0L, query_blocks - 1L)")))
-    )
-    left = asked.select("dim", "q", "c", "id", "v")
-    right = offered.select("dim", "q", "c", "id", "v")
-
-    def meet(a: pa.Table, b: pa.Table) -> pa.Table:
+    counts = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count_if("asked").alias("m"))
+    blocks = counts.select("dim", _blocks("m", query_block).alias("qs"), _blocks("n", candidate_block).alias("cs"))
+    of_query = F.pmod(F.xxhash64("id", "v"), F.col("qs")).cast("int")
+    of_candidate = F.pmod(F.xxhash64("v", "id"), F.col("cs")).cast("int")
+    asked = rows.filter("asked").join(blocks, "dim").withColumn("q", of_query)
+    each_block = F.explode(F.expr("sequence(0, cs - 1)")).alias("c")
+    left = asked.select("dim", "q", each_block, F.lit(True).alias("asks"), "id", "v")
+    offered = rows.join(blocks.filter("qs > 0"), "dim").withColumn("c", of_candidate)
+    each_block = F.explode(F.expr("sequence(0, qs - 1)")).alias("q")
+    right = offered.select("dim", each_block, "c", F.lit(False).alias("asks"), "id", "v")
+
+    def meet(block: pa.Table) -> pa.Table:
+        a, b = block.filter(block["asks"]), block.filter(pc.invert(block["asks"]))
         out = []
         if a.num_rows and b.num_rows:
             x, y = matrix(a["v"]), matrix(b["v"])
             own, ids = a["id"].to_numpy(), b["id"].to_numpy()
             if x.shape[1] == 0:
                 x, y = np.zeros((len(own), 1)), np.zeros((len(ids), 1))
-            for q, found, scores in SegmentIndex(ids, y).best(x, own, k, np.full(len(own), -np.inf)):
+            if np.abs(x).max() * np.abs(y).max() * x.shape[1] >= EXACT:
+                best = _exact(x, own, ids, y)
+            else:
+                best = SegmentIndex(ids, y).best(x, own, k, np.full(len(own), -np.inf))
+            for q, found, scores in best:
                 order = np.lexsort((found, -scores))[:k]
                 out.append((np.full(len(order), own[q]), found[order], scores[order].astype(np.int64)))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
         return pa.table([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
-    found = left.groupBy("dim", "q", "c").cogroup(right.groupBy("dim", "q", "c")).applyInArrow(
-        meet, "query_id long, vec_id long, score long"
-    )
+    found = left.union(right).groupBy("dim", "q", "c").applyInArrow(meet, "query_id long, vec_id long, score long")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -21,11 +21,11 @@ def matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
 
-def vectors(table: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """(id, v as array of double, dim) of the finite vectors."""
+def vectors(table: DataFrame, id_col: str, vector_col: str, *more: Column) -> DataFrame:
+    """(id, v as array of double, more, dim) of the finite vectors."""
     v = table[vector_col].cast("array<double>")
     return (
-        table.select(table[id_col].cast("long").alias("id"), v.alias("v"))
+        table.select(table[id_col].cast("long").alias("id"), v.alias("v"), *more)
         .filter(finite(F.col("v")))
         .withColumn("dim", F.size("v"))
     )
