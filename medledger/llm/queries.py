@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, matrices, packing, quantised, secrets, simhash, topk
-from medledger.llm.common import read_table
+from medledger.llm import bpe, matrices, packing, quantised, secrets, simhash, topk, toxicity
+from medledger.llm.common import fold_of, read_table
+
+
+def op1_compression_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity.score_documents(docs, toxicity.fit(docs, read_table(spark, sf_dir, "labels")))
+    return scored.select(
+        "doc_id",
+        (fold_of("doc_id", 3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+    )
 
 
 def op2_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,6 +82,7 @@ def op10_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_compression_toxicity,
         op2_sum_of_squares_packing,
         op3_quantised_duplicates,
         op5_bpe_transducer,
