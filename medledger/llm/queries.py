@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, matrices, packing, quantised, secrets, simhash, topk, toxicity
+from medledger.llm import bpe, hmm, matrices, packing, quantised, secrets, simhash, topk, toxicity
 from medledger.llm.common import fold_of, read_table
 
 
@@ -33,6 +33,10 @@ def op3_quantised_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quantised.near_duplicate_vectors(read_table(spark, sf_dir, "embeddings"))
 
 
+def op4_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_documents(read_table(spark, sf_dir, "documents"), hmm.held_out("doc_id"))
+
+
 def op5_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = bpe.decode_documents(bpe.encode_documents(read_table(spark, sf_dir, "documents")))
     return coded.select(
@@ -85,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_compression_toxicity,
         op2_sum_of_squares_packing,
         op3_quantised_duplicates,
+        op4_hidden_markov,
         op5_bpe_transducer,
         op6_simhash_variants,
         op8_segment_topk,
