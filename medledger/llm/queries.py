@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, hmm, matrices, packing, quantised, secrets, simhash, topk, toxicity
+from medledger.llm import bpe, hmm, matrices, packing, quantised, secrets, simhash, toolchat, topk, toxicity
 from medledger.llm.common import fold_of, read_table
 
 
@@ -52,6 +52,21 @@ def op6_simhash_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+#: The tools of the derived calls.
+TOOLS = """
+    select * from values
+        ('count', 'limit', 'integer', true), ('count', 'text', 'string', false), ('count', 'ref', 'string', false),
+        ('search', 'limit', 'number', true), ('search', 'text', 'string', true), ('search', 'ref', 'string', false),
+        ('translate', 'text', 'string', true), ('translate', 'ref', 'string', false)
+    as t(tool, param, type, required)
+"""
+
+
+def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = toolchat.with_calls(read_table(spark, sf_dir, "conversations"))
+    return toolchat.linked_chats(chats, spark.sql(TOOLS))
+
+
 def op8_segment_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -92,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op4_hidden_markov,
         op5_bpe_transducer,
         op6_simhash_variants,
+        op7_tool_call_linking,
         op8_segment_topk,
         op9_credential_automata,
         op10_packed_matrices,
