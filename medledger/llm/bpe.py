@@ -77,10 +77,12 @@ def sufficient_lookahead(merges: list[tuple[int, int, int, int]]) -> int:
     """
     made_at: dict[int, int] = {}
     left_of: dict[int, int] = {}
-    for k, (_, a, b, c) in enumerate(merges):
-        if c in made_at or any(made_at.get(x, -1) >= k for x in (a, b)):
-            raise ValueError("each token must be made by one merge, of tokens made before")
+    for k, (_, a, _, c) in enumerate(merges):
+        if c in made_at:
+            raise ValueError("each token must be made by one merge")
         made_at[c], left_of[c] = k, a
+    if any(made_at.get(x, -1) >= k for k, (_, a, b, _) in enumerate(merges) for x in (a, b)):
+        raise ValueError("each token must be made of tokens made before")
     steps: dict[int, list[int]] = defaultdict(list)  # of each left token: the ranks at which its heaviest chain grows
     loads: dict[int, list[int]] = defaultdict(list)
     most = 0

@@ -64,7 +64,7 @@ class SumOfSquares:
         if self.n_open > self.most_open:
             taken: list[list] = []
             for h in range(1, self.capacity):
-                while self.open_at[h] and len(taken) < self.most_open // 2:
+                while self.open_at[h] and len(taken) < max(2, self.most_open // 2):
                     taken.append(self.open_at[h].pop())
                     self._count(h, -1)
             full, rest = self._fill(taken)
