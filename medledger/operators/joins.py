@@ -25,10 +25,14 @@ def restrict(df: DataFrame, user_groups: DataFrame, user: str, group_col: str =
 
 
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join that also matches NULL with NULL; keeps the left copy of the keys."""
+    """Equi-join that also matches NULL with NULL; keeps the left copy of the keys, or for a full join
+    whichever side has one."""
     r = right.select(*[F.col(c).alias(f"_r_{c}") if c in keys else F.col(c) for c in right.columns])
     cond = None
     for k in keys:
         one = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
         cond = one if cond is None else cond & one
-    return left.join(r, cond, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.join(r, cond, how)
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(k, f"_r_{k}") for k in keys})
+    return joined.drop(*[f"_r_{k}" for k in keys])

@@ -1,9 +1,9 @@
 """Global ranks and running totals that no single task has to hold.
 
-A window without a partition key sends every row to one task, which is fine for a result whose
-size was counted (``SMALL`` rows) and wrong for any other. Beyond that, rows are cut into ranges of
-the order column by quantiles, each range is ranked on its own, and the ranges' totals (a few dozen
-rows) shift the results. The cut points only balance the work: any cut points give the same answer.
+A window without a partition key would send every row to one task. Instead, rows are cut into ranges
+of the order column by quantiles, as many as there are shuffle partitions, each range is ranked on its
+own, and the ranges' totals (a row for each) shift the results. The cut points only balance the work:
+any cut points give the same answer.
 """
 
 from __future__ import annotations
@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from medledger.session import settle
 
-MAX_RANGES = 64
-SMALL = 100_000
+
+def range_count(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
 def cut_points(df: DataFrame, value: str, ranges: int) -> list[float]:
@@ -25,17 +26,17 @@ def cut_points(df: DataFrame, value: str, ranges: int) -> list[float]:
     return sorted(set(found))
 
 
-def running_totals(df: DataFrame, value: str, sums: list[str], ties: list[Column], ranges: int = MAX_RANGES) -> DataFrame:
+def running_totals(df: DataFrame, value: str, sums: list[str], ties: list[Column], ranges: int | None = None) -> DataFrame:
     """Adds ``<s>_through``, the sum of ``s`` over all rows up to and including this one, in the
     order ``value`` descending (NULLs last), then ``ties``.
 
     ``df`` must be settled (it is read three times). Rows sharing one ``value`` fall in one range,
     so callers first fold equal values together.
     """
-    points = cut_points(df, value, ranges)
+    points = cut_points(df, value, ranges or range_count(df))
     v = F.col(value).cast("double")
     # 0 is the highest range; NULL goes last
-    above = sum(((v < p).cast("int") for p in points), F.lit(0))
+    above = F.size(F.filter(F.array(*map(F.lit, points)), lambda p: v < p)) if points else F.lit(0)
     ranged = df.withColumn("_range", F.when(v.isNull(), len(points) + 1).otherwise(above))
 
     per_range = ranged.groupBy("_range").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
@@ -53,7 +54,7 @@ def running_totals(df: DataFrame, value: str, sums: list[str], ties: list[Column
 
 
 def ranked_running_sum(df: DataFrame, value: str, tie_id: str, rank_name: str, total_name: str,
-                       small: int = SMALL, ranges: int = MAX_RANGES) -> DataFrame:
+                       ranges: int | None = None) -> DataFrame:
     """``row_number`` and running sum of ``value``, highest first, over the whole of ``df``.
 
     The order among equal values is by the MD5 of ``tie_id``, then ``tie_id``. Equal values are
@@ -61,12 +62,6 @@ def ranked_running_sum(df: DataFrame, value: str, tie_id: str, rank_name: str, t
     """
     digest = F.md5(F.col(tie_id).cast("string"))
     rows = settle(df.withColumn("_slot", F.coalesce(F.substring(digest, 1, 2), F.lit("~"))))
-    if rows.count() <= small:
-        order = Window.orderBy(F.col(value).desc_nulls_last(), "_slot", digest, tie_id)
-        so_far = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return rows.withColumns({
-            rank_name: F.row_number().over(order).cast("bigint"), total_name: F.sum(value).over(so_far)}).drop("_slot")
-
     folded = settle(rows.groupBy(value, "_slot").agg(
         F.count(F.lit(1)).cast("bigint").alias("_n"), F.sum(value).alias("_sum")))
     marks = running_totals(folded, value, ["_n", "_sum"], [F.col("_slot")], ranges)
@@ -84,13 +79,10 @@ def ranked_running_sum(df: DataFrame, value: str, tie_id: str, rank_name: str, t
     )
 
 
-def add_ranks(df: DataFrame, ranks: dict[str, str], small: int = SMALL, ranges: int = MAX_RANGES) -> DataFrame:
+def add_ranks(df: DataFrame, ranks: dict[str, str], ranges: int | None = None) -> DataFrame:
     """SQL ``rank()``, highest first, of each value column in ``ranks`` (value -> rank name):
     one more than the rows strictly above."""
     rows = settle(df)
-    if rows.count() <= small:
-        return rows.withColumns({
-            name: F.rank().over(Window.orderBy(F.col(v).desc_nulls_last())).cast("bigint") for v, name in ranks.items()})
     out = rows
     for value, name in ranks.items():
         values = settle(rows.groupBy(value).agg(F.count(F.lit(1)).cast("bigint").alias("_n")))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from medledger.functions import mean_of, ratio
 from medledger.plans.enriched import Star, enriched, look_up, submitted_between
 from medledger.plans.financial import rows, v_financial_monthly, v_mlr_by_group
-from medledger.plans.network import provider_totals, v_network_cost_diff, v_provider_concentration, v_provider_scorecard
+from medledger.plans.network import provider_fold, v_network_cost_diff, v_provider_concentration, v_provider_scorecard
 from medledger.plans.operations import quantile
 from medledger.plans.risk import v_provider_anomaly
 from medledger.sources.landing import union_all
@@ -221,11 +221,11 @@ def claims_detail(star: Star) -> DataFrame:
 
 def provider_report(star: Star, n: int = 60) -> DataFrame:
     """Count, paid, mean and billed of the ``n`` providers with the highest billed total."""
-    t = provider_totals(star, rows().alias("claim_count"), F.sum("paid_amount_pkr").alias("total_paid"),
-                        F.coalesce(mean_of("billed_amount_pkr"), F.lit(0.0)).alias("avg_claim_value"),
-                        F.sum("billed_amount_pkr").alias("total_billed"))
-    p = look_up(t, star, ["provider_id", "hospital_name"])
-    return p.select("provider_id", "hospital_name", "claim_count", "total_paid", "avg_claim_value", "total_billed").orderBy(
+    p = provider_fold(
+        star, ["provider_id", "hospital_name"], claim_count=rows(), total_paid=F.sum("paid_amount_pkr"),
+        total_billed=F.sum("billed_amount_pkr"), billed_n=F.count("billed_amount_pkr"))
+    mean = F.coalesce(ratio("total_billed", "billed_n"), F.lit(0.0)).alias("avg_claim_value")
+    return p.select("provider_id", "hospital_name", "claim_count", "total_paid", mean, "total_billed").orderBy(
         F.desc_nulls_last("total_billed"), "provider_id").limit(n)
 
 

@@ -141,7 +141,8 @@ def needed_aggregates(names: list[str]) -> list[str]:
 
 def evaluate(star: Star, names: list[str], by: list[str] | None = None, where: Column | None = None,
              where_reads: tuple[str, ...] = ()) -> DataFrame:
-    """One row per combination of ``by`` seen in the claims, one column per measure.
+    """One row per combination of ``by`` seen in any base table, one column per measure: an industry without
+    claims keeps its premium.
 
     ``where`` filters the claims and, where the columns it reads (``where_reads``) allow, the other
     base tables.
@@ -172,7 +173,7 @@ def evaluate(star: Star, names: list[str], by: list[str] | None = None, where: C
     for base in (b for b in by_base if b != "claims"):
         side, keys = fold(base)
         if keys:
-            out = null_safe_join(out, side, keys, "left")
+            out = null_safe_join(out, side, keys, "full")
         else:  # one row: attach each total as a scalar subquery
             for n in by_base[base]:
                 out = out.withColumn(n, side.select(n).scalar())

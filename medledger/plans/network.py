@@ -15,6 +15,13 @@ def provider_totals(star: Star, *aggs) -> DataFrame:
     return with_flags(star["fct_claim_header"]).groupBy("provider_sk").agg(*aggs)
 
 
+def provider_fold(star: Star, who: list[str], **sums) -> DataFrame:
+    """Sums by provider: the claims are added up by surrogate key, and the versions of a provider once more
+    by the columns of ``who``, so that a provider is one row however many versions it has."""
+    per_version = provider_totals(star, *(c.alias(n) for n, c in sums.items()))
+    return look_up(per_version, star, who).groupBy(*who).agg(*(F.sum(n).alias(n) for n in sums))
+
+
 def v_network_cost_diff(star: Star) -> DataFrame:
     """Mean unit price in and out of network for the same procedure; both sides must exist.
 
@@ -44,17 +51,18 @@ def v_network_cost_diff(star: Star) -> DataFrame:
 
 def v_provider_scorecard(star: Star) -> DataFrame:
     who = ["provider_id", "hospital_name", "provider_city", "provider_type", "network_status", "provider_tier"]
-    t = provider_totals(
-        star, rows().alias("claim_count"), F.sum("billed_amount_pkr").alias("billed_pkr"),
-        F.sum("paid_amount_pkr").alias("paid_pkr"), mean_of("billed_amount_pkr").alias("avg_claim_value_pkr"),
-        mean_of("is_denied").alias("denial_rate"), F.sum("savings_pkr").alias("savings_pkr"))
-    return look_up(t, star, who).select(*who, *[c for c in t.columns if c != "provider_sk"]).orderBy(
-        F.desc_nulls_last("billed_pkr"), "provider_id")
+    t = provider_fold(
+        star, who, claim_count=rows(), billed_pkr=F.sum("billed_amount_pkr"), billed_n=F.count("billed_amount_pkr"),
+        paid_pkr=F.sum("paid_amount_pkr"), denied=F.sum("is_denied"), denied_n=F.count("is_denied"),
+        savings_pkr=F.sum("savings_pkr"))
+    return t.select(
+        *who, "claim_count", "billed_pkr", "paid_pkr", ratio("billed_pkr", "billed_n").alias("avg_claim_value_pkr"),
+        ratio("denied", "denied_n").alias("denial_rate"), "savings_pkr",
+    ).orderBy(F.desc_nulls_last("billed_pkr"), "provider_id")
 
 
 def provider_spend(star: Star) -> DataFrame:
-    t = provider_totals(star, F.sum("paid_amount_pkr").alias("paid_pkr"))
-    return look_up(t, star, ["provider_id", "hospital_name"]).select("provider_id", "hospital_name", "paid_pkr")
+    return provider_fold(star, ["provider_id", "hospital_name"], paid_pkr=F.sum("paid_amount_pkr"))
 
 
 def v_provider_concentration(star: Star) -> DataFrame:

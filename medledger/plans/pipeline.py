@@ -13,7 +13,6 @@ from medledger.operators.staging import stage_all
 from medledger.plans import consumers
 from medledger.plans.views import register_views
 from medledger.quality import assertions, engine
-from medledger.session import size_shuffles
 from medledger.sources.lake import Lake
 from medledger.sources.landing import ingest_all, union_all
 from medledger.sources.schemas import RAW_TABLES
@@ -35,7 +34,6 @@ def build_marts(lake: Lake, raw: dict[str, DataFrame] | None = None) -> dict[str
     """Write the nine dimensions and three facts; each fact reads the stored tables it builds on,
     so the cleaned claims are computed once."""
     raw = raw or lake.tables("raw", RAW_TABLES)
-    size_shuffles(lake.spark, *raw.values())
     staged = stage_all(raw)
     dims = {n: lake.replace("marts", n, df) for n, df in star_ops.dimensions(lake.spark, staged).items()}
     header = lake.replace_by_month(
@@ -79,7 +77,6 @@ def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     ingest_all(lake, settings.landing_dir)
     raw = lake.tables("raw", RAW_TABLES)
     register_sql_functions(lake.spark)
-    size_shuffles(lake.spark, *raw.values())
     run = engine.run(lake, raw)
     if settings.fail_on_critical:
         engine.check_gate(run.results)

@@ -8,22 +8,20 @@ from pyspark.sql import functions as F
 from medledger.functions import mean_of, ratio
 from medledger.operators.cleaning import SIGNATURE
 from medledger.operators.joins import null_safe_join
-from medledger.operators.duplicates import repeated_signatures, signature_copies, spread_copies
+from medledger.operators.duplicates import repeated_signatures, signature_copies
 from medledger.plans.enriched import Star, look_up
 from medledger.plans.financial import rows
-from medledger.plans.network import provider_totals
+from medledger.plans.network import provider_fold
 from medledger.session import settle
 
-IDS_PER_ROW = 100_000
-
 
 def v_provider_anomaly(star: Star, sigmas: int = 2) -> DataFrame:
     """Mean claim value of a provider against all providers of its type."""
-    t = provider_totals(star, rows().alias("claim_count"), mean_of("billed_amount_pkr").alias("avg_claim_value"))
     who = ["provider_id", "hospital_name", "provider_type", "network_status"]
+    t = provider_fold(star, who, claim_count=rows(), billed=F.sum("billed_amount_pkr"), n=F.count("billed_amount_pkr"))
     # Provider grain, read by the peer statistics and by the join: settled, so the claims are
     # added up once (the two readers prune different columns and would not share a shuffle).
-    p = settle(look_up(t, star, who).select(*who, "claim_count", "avg_claim_value"))
+    p = settle(t.select(*who, "claim_count", ratio("billed", "n").alias("avg_claim_value")))
     peers = p.groupBy("provider_type").agg(
         F.avg("avg_claim_value").alias("peer_mean"), F.stddev_pop("avg_claim_value").alias("peer_sd"))
     v, m, s = F.col("avg_claim_value"), F.col("peer_mean"), F.col("peer_sd")
@@ -34,23 +32,14 @@ def v_provider_anomaly(star: Star, sigmas: int = 2) -> DataFrame:
     ).orderBy(F.desc_nulls_last("z_score"), "provider_id")
 
 
-def v_duplicate_candidates(raw_headers: DataFrame, ids_per_row: int = IDS_PER_ROW) -> DataFrame:
-    """Raw signatures seen more than once, with their claim ids in order.
+def v_duplicate_candidates(raw_headers: DataFrame) -> DataFrame:
+    """Raw signatures seen more than once: a row for each of their claim ids, in order.
 
-    One row per signature, as long as it has at most ``ids_per_row`` claims. A larger signature
-    takes several rows (each with the full count), because no single array could hold it; all its
-    ids are still there.
+    It is the list of ids unnested, so a signature of any size keeps one shape: ``occurrence_count``
+    is that of the signature, ``copies`` that of the claim id within it.
     """
-    copies = signature_copies(raw_headers)
-    spread = spread_copies(copies, "copies", ids_per_row)
-    parts = F.greatest(F.lit(1), F.ceil(F.col("occurrence_count") / ids_per_row))
-    return (
-        spread.withColumn("_part", F.pmod(F.xxhash64("claim_id", "block"), parts))
-        .groupBy(*SIGNATURE, "occurrence_count", "_part")
-        .agg(F.array_sort(F.collect_list("claim_id")).alias("claim_ids"))
-        .drop("_part")
-        .orderBy(F.desc("occurrence_count"), F.desc("billed_amount_pkr"), *SIGNATURE)
-    )
+    return signature_copies(raw_headers).select(*SIGNATURE, "occurrence_count", "claim_id", "copies").orderBy(
+        F.desc("occurrence_count"), F.desc("billed_amount_pkr"), *SIGNATURE, "claim_id")
 
 
 def duplicate_claim_flag(raw_headers: DataFrame) -> DataFrame:
@@ -65,8 +54,10 @@ def v_high_frequency_members(star: Star, sigmas: int = 2) -> DataFrame:
     """Members with more claims than mean + 2 sigma. Population statistics are one scalar row."""
     per_sk = star["fct_claim_header"].groupBy("member_sk").agg(
         rows().alias("claim_count"), F.sum("paid_amount_pkr").alias("paid_pkr"))
-    per_member = look_up(per_sk, star, ["member_id"]).select("member_id", "claim_count", "paid_pkr")
-    stats = per_sk.agg(F.struct(
+    # The versions of a member are added up once more; read by the statistics and by the filter, so settled.
+    per_member = settle(look_up(per_sk, star, ["member_id"]).groupBy("member_id").agg(
+        F.sum("claim_count").alias("claim_count"), F.sum("paid_pkr").alias("paid_pkr")))
+    stats = per_member.agg(F.struct(
         mean_of("claim_count").alias("mean_freq"), F.stddev_pop("claim_count").alias("sd_freq")).alias("s"))
     m = per_member.withColumn("_s", stats.scalar())
     mean, sd = F.col("_s.mean_freq"), F.col("_s.sd_freq")
@@ -88,10 +79,12 @@ def upcoding_proxy(star: Star) -> DataFrame:
         star["fct_claim_line"].select("provider_sk", "procedure_sk", "line_billed_pkr").join(proc, "procedure_sk")
         .groupBy("provider_sk", "category").agg(F.sum("line_billed_pkr").alias("category_billed_pkr"))
     )
-    total = per.groupBy("provider_sk").agg(F.sum("category_billed_pkr").alias("_total"))
-    share = per.join(total, "provider_sk").withColumn("category_share", ratio("category_billed_pkr", "_total"))
-    p = settle(look_up(share, star, ["provider_id", "provider_type"]).select(
-        "provider_id", "provider_type", "category", "category_billed_pkr", "category_share"))
+    per = look_up(per, star, ["provider_id", "provider_type"]).groupBy("provider_id", "provider_type", "category").agg(
+        F.sum("category_billed_pkr").alias("category_billed_pkr"))
+    total = per.groupBy("provider_id", "provider_type").agg(F.sum("category_billed_pkr").alias("_total"))
+    share = null_safe_join(per, total, ["provider_id", "provider_type"])
+    p = settle(share.select("provider_id", "provider_type", "category", "category_billed_pkr",
+                            ratio("category_billed_pkr", "_total").alias("category_share")))
     peers = p.groupBy("provider_type", "category").agg(
         F.avg("category_share").alias("peer_mean_share"), F.stddev_pop("category_share").alias("_sd"))
     return p.join(peers, ["provider_type", "category"]).select(

@@ -52,36 +52,6 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-SHUFFLE_BYTES = 128 << 20
-MAX_SHUFFLE_PARTITIONS = 100_000
-
-
-def plan_bytes(df: DataFrame) -> int:
-    """Spark's own size estimate; for a file scan, the bytes of its files."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def size_shuffles(spark: SparkSession, *inputs: DataFrame, expansion: float = 3.0) -> int:
-    """Raise the number of shuffle partitions to about 128 MB each for the largest input.
-
-    Only ever raised: adaptive execution merges partitions that turn out small, but it cannot split
-    all of them when there were too few. Compressed columns grow when shuffled, hence ``expansion``.
-    """
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    largest = max((plan_bytes(df) for df in inputs), default=0)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, int(largest * expansion / SHUFFLE_BYTES) + 1)
-    if wanted > now:
-        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
-    return max(now, wanted)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Deal a small input out over the cores when it has fewer splits than there are cores; a large
-    input has more and is returned as it is."""
-    n = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def work_root(spark: SparkSession) -> str:
     """A folder of this application's own under the cluster's shared checkpoint folder.
 
@@ -94,6 +64,9 @@ def work_root(spark: SparkSession) -> str:
         if not shared:
             shared = spark.sparkContext.getCheckpointDir()
         if not shared:
+            master = spark.sparkContext.master
+            if not master.startswith("local") or master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             shared = tempfile.mkdtemp(prefix="medledger-")
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(shared)

@@ -492,9 +492,10 @@ def bodies() -> dict[str, str]:
                round((avg_value - peer_mean) / nullif(peer_sd, 0), 6) AS z_score,
                peer_sd > 0 AND avg_value - peer_mean > 2 * peer_sd AS is_anomalous FROM ({ANOMALY})"""
     q["v_duplicate_candidates"] = """
-        SELECT member_id, provider_id, admission_date, billed_amount_pkr, count(*) AS occurrence_count,
-               string_agg(claim_id, ',' ORDER BY claim_id) AS claim_ids
-        FROM raw_headers GROUP BY ALL HAVING count(*) > 1"""
+        SELECT member_id, provider_id, admission_date, billed_amount_pkr, occurrence_count, claim_id, count(*) AS copies
+        FROM (SELECT *, count(*) OVER (PARTITION BY member_id, provider_id, admission_date, billed_amount_pkr)
+                        AS occurrence_count FROM raw_headers)
+        WHERE occurrence_count > 1 GROUP BY ALL"""
     q["v_high_frequency_members"] = f"""
         SELECT member_id, n AS claim_count, paid::DOUBLE AS paid_pkr, round(m, 6) AS mean_freq, round((n - m) / sd, 6) AS z_score
         FROM ({FREQUENT}) WHERE sd > 0 AND n > m + 2 * sd"""

@@ -41,11 +41,9 @@ def odd_city(base: str, key: str, every: int) -> str:
     return (f"CASE {key} % {2 * every} WHEN 0 THEN lower({base}) || ' ' WHEN {every} THEN upper({base}) ELSE {base} END")
 
 
-TIER = "CASE {n} % 4 WHEN 0 THEN {p} WHEN 1 THEN {b} WHEN 2 THEN {s} ELSE {g} END"
-
-
-def tier(n: str, platinum, bronze, silver, gold) -> str:
-    return TIER.format(n=n, p=platinum, b=bronze, s=silver, g=gold)
+def by_tier(n: str, bronze: int, step: int) -> str:
+    """What a plan has: Bronze's value, and so much more for each tier above it (plans 2, 3, 4, 5 are the four tiers)."""
+    return f"({bronze} + {step} * (({n} - 2) % 4))"
 
 
 RAW = {
@@ -58,13 +56,13 @@ RAW = {
         FROM nation, region WHERE n_regionkey = r_regionkey""",
     "raw_policies": f"""
         SELECT 'POL' || lpad(i::VARCHAR, 4, '0') AS policy_id, plan_tier || ' Plan ' || i AS plan_name, plan_tier,
-               ({tier('i', 3000000, 300000, 600000, 1200000)})::VARCHAR AS annual_limit_pkr,
-               ({tier('i', 50000, 6000, 12000, 25000)})::VARCHAR AS room_rent_cap_pkr,
-               ({tier('i', 0, 5000, 3000, 1000)})::VARCHAR AS deductible_pkr,
-               {tier('i', "'0.05'", "'0.20'", "'0.15'", "'0.10'")} AS copay_pct,
+               {by_tier('(i + 4)', 450000, 450000)}::VARCHAR AS annual_limit_pkr,
+               {by_tier('(i + 4)', 8500, 8500)}::VARCHAR AS room_rent_cap_pkr,
+               {by_tier('(i + 4)', 4200, -1100)}::VARCHAR AS deductible_pkr,
+               printf('0.%02d', {by_tier('(i + 4)', 23, -6)}) AS copay_pct,
                CASE plan_tier WHEN 'Bronze' THEN 'False' ELSE 'True' END AS maternity_covered,
-               ({tier('i', 3, 12, 9, 6)})::VARCHAR AS pre_existing_waiting_months
-        FROM (SELECT i, {tier('i', "'Platinum'", "'Bronze'", "'Silver'", "'Gold'")} AS plan_tier
+               {by_tier('(i + 4)', 10, -2)}::VARCHAR AS pre_existing_waiting_months
+        FROM (SELECT i, ['Gold', 'Platinum', 'Bronze', 'Silver'][i % 4 + 1] AS plan_tier
               FROM (SELECT DISTINCT c_custkey % 60 + 1 AS i FROM customer))""",
     "raw_providers": f"""
         SELECT 'PR' || lpad(s_suppkey::VARCHAR, 9, '0') AS provider_id, s_name AS hospital_name,
@@ -98,14 +96,14 @@ RAW = {
         FROM part""",
     # one row per order: numbers before they are turned into text
     "terms": f"""
-        SELECT *, CASE st WHEN 'Denied' THEN 0 WHEN 'Pending' THEN 0 WHEN 'Partially Paid' THEN base_share * 65
-                          ELSE base_share * 100 END::BIGINT AS share
+        SELECT *, CASE WHEN st IN ('Denied', 'Pending') THEN 0 WHEN st = 'Partially Paid' THEN whole // 2
+                       ELSE whole END::BIGINT AS share
         FROM (SELECT o_orderkey AS k, o_custkey AS ck, o_custkey % 60 + 1 AS pol_no, o_totalprice, o_orderdate,
                      CASE WHEN o_orderstatus = 'F' THEN 'Paid'
                           WHEN o_orderstatus = 'P' THEN if(o_orderkey % 2 = 0, 'Partially Paid', 'Denied')
                           WHEN o_orderkey % 4 = 0 THEN 'Pending' WHEN o_orderkey % 4 = 1 THEN 'In Review'
                           ELSE 'Paid' END AS st,
-                     {tier('(o_custkey % 60 + 1)', 92, 72, 80, 87)} AS base_share
+                     {by_tier('(o_custkey % 60 + 5)', 6900, 650)} AS whole
               FROM orders)""",
     "events_of_claim": """
         SELECT t.*, (k * 31 + ck) % (SELECT count(*) FROM supplier) AS pk,
@@ -114,11 +112,11 @@ RAW = {
                DATE '2024-07-01' + (date_diff('day', DATE '1995-01-01', o_orderdate::DATE) % 730)::INTEGER AS adm
         FROM terms t""",
     "amounts_of_claim": f"""
-        SELECT *, least(appr, ded * 100 + (appr * cop) // 100) AS mshare,
-               dis + (1 + k % 19)::INTEGER AS sub
-        FROM (SELECT *, (bil * share) // 10000 AS appr, {tier('pol_no', 0, 5000, 3000, 1000)}::BIGINT AS ded,
-                     {tier('pol_no', 5, 20, 15, 10)} AS cop
-              FROM (SELECT *, adm + if(kind IN ('Inpatient', 'Maternity', 'Emergency'), 1 + k % 11, 0)::INTEGER AS dis,
+        SELECT *, least(appr, greatest(ded * 100, (appr * cop) // 100)) AS mshare,
+               dis + (k * 5 % 17)::INTEGER AS sub
+        FROM (SELECT *, (bil * share) // 10000 AS appr, {by_tier('(pol_no + 4)', 4200, -1100)}::BIGINT AS ded,
+                     {by_tier('(pol_no + 4)', 23, -6)} AS cop
+              FROM (SELECT *, adm + if(kind IN ('Inpatient', 'Maternity', 'Emergency'), 2 + k * 3 % 8, 0)::INTEGER AS dis,
                            round(o_totalprice * 100)::BIGINT * if(pk % 40 = 7, 3, 1) AS bil
                     FROM events_of_claim))""",
     "raw_single": f"""
@@ -130,7 +128,7 @@ RAW = {
                if(k % 1000 BETWEEN 300 AND 307, adm - (1 + k % 4)::INTEGER, dis)::VARCHAR AS discharge_date,
                if(k % 2 = 1, strftime(sub, '%d/%m/%Y'), sub::VARCHAR) AS submission_date,
                coalesce(adj::VARCHAR, '') AS adjudication_date,
-               if(st IN ('Paid', 'Partially Paid'), (adj + (1 + k % 29)::INTEGER)::VARCHAR, '') AS payment_date,
+               if(st IN ('Paid', 'Partially Paid'), (adj + (3 + k * 11 % 23)::INTEGER)::VARCHAR, '') AS payment_date,
                st AS status, if(st = 'Denied', 'DR' || lpad((k % 10 + 1)::VARCHAR, 2, '0'), '') AS denial_reason_code,
                CASE WHEN k % 1000 BETWEEN 500 AND 502 THEN '-' || (1 + k % 5000) || '.00'
                     ELSE {cents_text('bil')} END AS billed_amount_pkr,
@@ -141,7 +139,7 @@ RAW = {
                     ELSE {cents_text('appr - mshare')} END AS paid_amount_pkr,
                {cents_text('mshare')} AS member_share_pkr,
                CASE WHEN k % 1000 BETWEEN 100 AND 114 THEN '' WHEN auto THEN 'Auto' ELSE 'Manual' END AS adjudication_mode
-        FROM (SELECT *, CASE WHEN st <> 'Pending' THEN sub + if(auto, 1 + k % 4, 7 + k % 33)::INTEGER END AS adj
+        FROM (SELECT *, CASE WHEN st <> 'Pending' THEN sub + if(auto, k * 3 % 5, 11 + k * 7 % 26)::INTEGER END AS adj
               FROM amounts_of_claim)""",
     "raw_headers": """
         SELECT * EXCLUDE (k) FROM raw_single

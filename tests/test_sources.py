@@ -1,7 +1,6 @@
 import pytest
 from pyspark.sql import functions as F
 
-from medledger.session import size_shuffles
 from medledger.sources.landing import ingest_all, ingest_table, read_text_csv, reconcile
 from medledger.sources.lake import MONTH
 from medledger.sources.schemas import RAW_COLUMNS, RAW_TABLES
@@ -63,13 +62,3 @@ def test_month_folders_are_pruned(claims):
     assert "paid_amount_pkr" not in schema and "billed_amount_pkr" in schema
     want = fact.filter(F.col("submission_date_key").between(20250115, 20250210)).count()
     assert cut.count() == want > 0
-
-
-def test_shuffle_count_only_rises(spark, claims):
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, claims.raw["claims_header"]) == int(before)
-        n = size_shuffles(spark, claims.raw["claims_header"], expansion=5e4)
-        assert n > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(n)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
