@@ -115,6 +115,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op7_tool_call_linking": """
+        with calls as (
+            select *, ['count', 'search', 'translate'][length(text) % 3 + 1] as tool, length(text) as n,
+                (turn // 2) % 2 = 0 and length(text) % 13 < 6 as forward
+            from conversations where role = 'assistant' and text is not null and turn is not null
+        ), answers as (
+            select conv_id, turn, 'c' || (turn - 1) as call_id, to_json(text)::varchar as content
+            from conversations where role = 'user' and turn >= 1 and text is not null
+        ), first_answers as (
+            select conv_id, call_id, min(content) as result from answers group by all
+        ), known as (
+            select distinct conv_id, turn from calls
+        ), told as (
+            select c.conv_id, c.turn, tool, result, c.forward and k.turn is not null as moved,
+                '{' || concat_ws(',',
+                    case when n % 11 = 0 then '"extra":true' end,
+                    '"limit":' || case when n % 5 = 0 then '"many"' else n::varchar end,
+                    case when c.forward then '"ref":"$result:c' || (c.turn + 2) || '"' end,
+                    case when n % 7 <> 0 then '"text":' || to_json(text)::varchar end) || '}' as arguments,
+                '[' || concat_ws(',',
+                    case when n % 7 = 0 and tool <> 'count' then '"missing text"' end,
+                    case when n % 5 = 0 and tool = 'count' then '"not integer limit"' end,
+                    case when n % 5 = 0 and tool = 'search' then '"not number limit"' end,
+                    case when n % 11 = 0 then '"unknown extra"' end,
+                    case when tool = 'translate' then '"unknown limit"' end) || ']' as errors
+            from calls c
+            left join first_answers a on a.conv_id = c.conv_id and a.call_id = 'c' || c.turn
+            left join known k on k.conv_id = c.conv_id and k.turn = c.turn + 2
+        )
+        select conv_id, turn + case when moved then 2 else 0 end as order_turn, moved::bigint as order_step, turn,
+            1 as part, case when result is null then 'open' else 'linked' end as status,
+            '{"arguments":' || arguments || ',"errors":' || errors || ',"id":"c' || turn || '","name":"' || tool
+                || '","result":' || coalesce(result, 'null') || '}' as message
+        from told
+        union all
+        select conv_id, turn, 0, turn, 0, 'message', '{"content":' || coalesce(to_json(text)::varchar, 'null')
+            || ',"role":' || coalesce(to_json(role)::varchar, 'null') || '}'
+        from conversations
+        union all
+        select a.conv_id, a.turn, 0, a.turn, 0, 'orphan',
+            '{"content":' || content || ',"id":"' || call_id || '","role":"tool"}'
+        from answers a where not exists (select 1 from known k where k.conv_id = a.conv_id and 'c' || k.turn = a.call_id)
+    """,
     "op8_segment_topk": """
         with whole as (
             select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)::bigint) as v
