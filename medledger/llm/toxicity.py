@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from medledger.llm.common import fold_of, words_of
@@ -210,8 +210,11 @@ def fit(
     usable = usable.filter((F.col("y").isin(0, 1)) & (fold_of("id", folds) != held_out) & F.col("id").isNotNull())
     usable = usable.groupBy("id").agg(F.max("y").alias("y"))
     totals = {r.y: r.n for r in usable.groupBy("y").agg(F.count("*").alias("n")).collect()}
-    order = F.row_number().over(Window.partitionBy("y").orderBy(F.xxhash64("id"), "id"))
-    chosen = usable.withColumn("n", order).filter(F.col("n") <= sample)  # at most 2 * sample rows
+    order = {}  # of at most 2 * sample ids: their places among the hashes of their label
+    for y in (0, 1):
+        first = usable.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample)
+        order |= {r.id: (y, n) for n, r in enumerate(first.select("id").collect())}
+    chosen = docs.sparkSession.createDataFrame([(i, *at) for i, at in order.items()], "id long, y int, n int")
     texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").orderBy("y", "n").collect()
     seen: dict[tuple[int, bytes], tuple] = {}
