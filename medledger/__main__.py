@@ -36,7 +36,7 @@ def quality(lake: Lake, stop: bool) -> None:
     engine.scores(run.results).orderBy("scope", "name").show(50, truncate=False)
     engine.report(run.results).write.mode("overwrite").json(lake.path("exports", "dq_report"))
     if stop:
-        engine.check_gate(run.results)
+        engine.check_gate(run.results, run.unread)
 
 
 def main(argv: list[str] | None = None) -> int:

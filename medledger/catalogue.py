@@ -19,7 +19,7 @@ from medledger.plans.views import STAR_VIEWS, smoke_check
 from medledger.quality import assertions, engine
 from medledger.sources.derive import injected_defects
 from medledger.sources.lake import MONTH
-from medledger.sources.landing import ingest_audit, read_text_csv, reconcile, write_text_csv
+from medledger.sources.landing import ingest_all, ingest_audit, read_text_csv, reconcile, write_text_csv
 from medledger.sources.schemas import RAW_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,37 @@ def _(c: ClaimsLake) -> DataFrame:
     return read_text_csv(c.spark, path, "members")
 
 
+@query("csv_landing_reconciled")
+def _(c: ClaimsLake) -> DataFrame:
+    """All eight tables through landing CSV files: rows at the source against rows loaded."""
+    folder = c.lake.path("landing", "all")
+    for t, df in c.raw.items():
+        write_text_csv(df, f"{folder}/{t}.csv")
+    landed = Lake(c.spark, c.lake.path("landing", "lake"))
+    ingest_all(landed, folder)
+    return reconcile(c.source.tables(), landed.tables("raw", RAW_TABLES))
+
+
+@query("unread_numbers")
+def _(c: ClaimsLake) -> DataFrame:
+    """The load check over all tables, with amounts spoilt in five ways: counted by column."""
+    billed = F.col("billed_amount_pkr")
+    k = F.substring("claim_id", -2, 2)
+    spoilt = (
+        F.when(k == "07", F.concat(billed, F.lit("5"))).when(k == "11", F.lit("12,000.00")).when(k == "23", F.lit("abc"))
+        .when(k == "42", F.lit("1e20")).when(k == "64", F.lit("")).otherwise(billed)
+    )
+    raw = {**c.raw, "claims_header": c.raw["claims_header"].withColumn("billed_amount_pkr", spoilt)}
+    return engine.unread_numbers(raw).groupBy("table_name", "column_name").agg(F.count("*").alias("lost"))
+
+
+@query("gate_verdict")
+def _(c: ClaimsLake) -> DataFrame:
+    """What the gate would stop on: critical rules that failed, and the load check of numbers."""
+    lost = c.quality.unread.agg(F.count("*").alias("n")).filter("n > 0").select(F.lit(engine.UNREAD).alias("rule_id"))
+    return engine.critical_failures(c.quality.results).select("rule_id").union(lost)
+
+
 @query("ingest_audit")
 def _(c):
     _ = c.raw

@@ -79,7 +79,7 @@ def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     register_sql_functions(lake.spark)
     run = engine.run(lake, raw)
     if settings.fail_on_critical:
-        engine.check_gate(run.results)
+        engine.check_gate(run.results, run.unread)
     marts = build_marts(lake, raw)
     if settings.run_assertions:
         check_marts(lake, marts)

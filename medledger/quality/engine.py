@@ -9,15 +9,17 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from medledger.functions import ratio
+from medledger.functions.scalars import MONEY, SHARE
 from medledger.operators.duplicates import repeated_keys, surplus_claims
 from medledger.operators.staging import with_parsed
 from medledger.quality.rules import RECORD_KEY, RULES, WEIGHT, FirstOnly, KnownParent, RowCheck, Rule, UniqueKey
 from medledger.sources.lake import Lake
 from medledger.sources.landing import count_rows, union_all
+from medledger.sources.schemas import NUMBER_COLUMNS
 
 RESULT_COLUMNS = ["run_id", "run_ts", "rule_id", "rule_name", "dimension", "severity", "table_name", "column_name",
                   "rows_checked", "rows_failed", "fail_rate", "threshold", "passed"]
@@ -76,6 +78,27 @@ def failed_records(raw: dict[str, DataFrame], rules: list[Rule] | None = None) -
         "rule_id", "table_name", F.coalesce(F.col("record_key").cast("string"), F.lit("None")).alias("record_key"))
 
 
+def unread_numbers(raw: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, record_key, column_name, raw_value) for every number that staging cannot keep: text that is no
+    number, one too large, or one with more decimals than its type. Such a value becomes NULL or is rounded, so the
+    rules never see it; this load check does. One pass over each table."""
+    parts = []
+    for table, df in raw.items():
+        numbers = [c for c in NUMBER_COLUMNS[table] if c in df.columns]
+        if not numbers:
+            continue
+        each = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("raw_value"), _lost(c).alias("lost")) for c in numbers))
+        found = df.select(F.col(df.columns[0]).alias("record_key"), F.explode(each).alias("x")).filter("x.lost")
+        parts.append(found.select(F.lit(table).alias("table_name"), "record_key", "x.column_name", "x.raw_value"))
+    return union_all(parts)
+
+
+def _lost(c: str) -> Column:
+    kept = MONEY if c.endswith("_pkr") else SHARE if c == "copay_pct" else "int"
+    same = f"try_cast({c} AS {kept}) = try_cast({c} AS decimal(38,12))"
+    return F.expr(f"nullif({c}, '') IS NOT NULL AND NOT coalesce({same}, false)")
+
+
 def catalogue(spark: SparkSession, rules: list[Rule] | None = None) -> DataFrame:
     rows = [(i, r.id, r.name, r.dimension.value, r.severity.value, r.table, r.column, r.threshold, WEIGHT[r.severity])
             for i, r in enumerate(RULES if rules is None else rules)]
@@ -121,8 +144,15 @@ def critical_failures(results_: DataFrame) -> DataFrame:
     return results_.filter((F.col("severity") == "critical") & ~F.col("passed"))
 
 
-def check_gate(results_: DataFrame) -> None:
+#: What the gate calls the load check of numbers; it is no rule of the catalogue and carries no weight.
+UNREAD = "LOAD-NUMBERS"
+
+
+def check_gate(results_: DataFrame, unread: DataFrame | None = None) -> None:
+    """Stops on a failed critical rule, and on numbers that staging would lose."""
     ids = [r.rule_id for r in critical_failures(results_).select("rule_id").orderBy("rule_id").collect()]
+    if unread is not None and not unread.isEmpty():
+        ids.append(UNREAD)
     if ids:
         raise QualityGateError(ids)
 
@@ -156,6 +186,7 @@ def report(results_: DataFrame) -> DataFrame:
 class QualityRun:
     run_id: int
     results: DataFrame
+    unread: DataFrame
 
     def overall_score(self) -> float:
         return score(self.results).first()["score"]
@@ -180,7 +211,10 @@ def run(lake: Lake, raw: dict[str, DataFrame], rules: list[Rule] | None = None,
     stored = lake.replace_partition("dq", "dq_failed_records", found, "run_id").filter(F.col("run_id") == run_id)
     res = results(raw, stored, rules).withColumns({"run_id": F.lit(run_id), "run_ts": now})
     kept = lake.replace_partition("dq", "dq_results", res.select(*RESULT_COLUMNS, "rule_no"), "run_id")
-    return QualityRun(run_id, kept.filter(F.col("run_id") == run_id))
+    lost = unread_numbers(raw).select(F.lit(run_id).alias("run_id"), "*", now.alias("captured_at"))
+    quarantined = lake.replace_partition("dq", "dq_unread_numbers", lost, "run_id")
+    mine = F.col("run_id") == run_id
+    return QualityRun(run_id, kept.filter(mine), quarantined.filter(mine))
 
 
 # -- reads over stored runs ------------------------------------------------------

@@ -43,7 +43,9 @@ class Lake:
     def exists(self, layer: str, name: str) -> bool:
         try:
             self.read(layer, name)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise  # a folder that cannot be read is not an absent one
             return False
         return True
 

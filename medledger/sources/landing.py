@@ -10,14 +10,20 @@ from medledger.sources.lake import Lake
 from medledger.sources.schemas import RAW_TABLES, raw_schema
 
 
-def read_text_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """Every column as text. Spark reads an unquoted empty field as NULL, so it is put back to ''."""
+def read_text_csv(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """Every column as text. Spark reads an unquoted empty field as NULL, so it is put back to ''.
+
+    A row with more or fewer fields than the header stops the load. Without ``multi_line`` files are split
+    among tasks, and a quoted line break is such a row; with it fields may hold line breaks, and a file is
+    read by one task.
+    """
     return (
         spark.read.schema(raw_schema(table))
         .option("header", True)
         .option("enforceSchema", False)  # the header row must name the expected columns
         .option("escape", '"')  # a doubled quote is one quote
-        .option("multiLine", False)
+        .option("multiLine", multi_line)
+        .option("mode", "FAILFAST")
         .csv(path)
         .na.fill("")
     )
@@ -29,19 +35,21 @@ def write_text_csv(df: DataFrame, path: str) -> None:
        .option("emptyValue", "").csv(path))
 
 
-def ingest_table(lake: Lake, landing_dir: str, table: str) -> DataFrame:
+def ingest_table(lake: Lake, landing_dir: str, table: str, multi_line: bool = False) -> DataFrame:
     path = f"{landing_dir}/{table}.csv"
     try:
-        df = read_text_csv(lake.spark, path, table)
+        df = read_text_csv(lake.spark, path, table, multi_line)
     except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise FileNotFoundError(f"no landing file for {table}: {path}") from e
     return lake.replace("raw", table, df)
 
 
-def ingest_all(lake: Lake, landing_dir: str) -> DataFrame:
+def ingest_all(lake: Lake, landing_dir: str, multi_line: bool = False) -> DataFrame:
     """Load all eight tables and return the audit: one row per table."""
     for table in RAW_TABLES:
-        ingest_table(lake, landing_dir, table)
+        ingest_table(lake, landing_dir, table, multi_line)
     return lake.replace("raw", "_ingest_audit", ingest_audit(lake))
 
 

