@@ -18,7 +18,7 @@ from medledger.plans.pipeline import layer_counts
 from medledger.plans.views import STAR_VIEWS, smoke_check
 from medledger.quality import assertions, engine
 from medledger.sources.derive import injected_defects
-from medledger.sources.lake import MONTH
+from medledger.sources.lake import MONTH, Lake
 from medledger.sources.landing import ingest_all, ingest_audit, read_text_csv, reconcile, write_text_csv
 from medledger.sources.schemas import RAW_TABLES
 

@@ -38,7 +38,7 @@ class Lake:
         """Append by partition; writing the same partition again replaces it."""
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy(by).parquet(self.path(layer, name)))
-        return self.read(layer, name)
+        return self.spark.read.schema(df.schema).parquet(self.path(layer, name))  # there may be no row, so no file
 
     def exists(self, layer: str, name: str) -> bool:
         try:
