@@ -17,7 +17,7 @@ from medledger.plans.enriched import enriched
 from medledger.plans.pipeline import layer_counts
 from medledger.plans.views import STAR_VIEWS, smoke_check
 from medledger.quality import assertions, engine
-from medledger.sources.derive import injected_defects
+from medledger.sources.derive import dirtied, injected_defects
 from medledger.sources.lake import MONTH, Lake
 from medledger.sources.landing import ingest_all, ingest_audit, read_text_csv, reconcile, write_text_csv
 from medledger.sources.schemas import RAW_TABLES
@@ -67,6 +67,14 @@ def _(c: ClaimsLake) -> DataFrame:
     return engine.unread_numbers(raw).groupBy("table_name", "column_name").agg(F.count("*").alias("lost"))
 
 
+@query("dq_dirty_rules")
+def _(c: ClaimsLake) -> DataFrame:
+    """Rows failed by rule over raw tables on which each rule fails somewhere, and whether the gate stops there."""
+    raw = dirtied(c.raw)
+    found = engine.results(raw, engine.failed_records(raw))
+    return found.select("rule_id", "rows_failed", ((F.col("severity") == "critical") & ~F.col("passed")).alias("stops"))
+
+
 @query("gate_verdict")
 def _(c: ClaimsLake) -> DataFrame:
     """What the gate would stop on: critical rules that failed, and the load check of numbers."""

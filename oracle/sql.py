@@ -179,6 +179,39 @@ def rule_results() -> str:
                 JOIN sizes USING (table_name))"""
 
 
+def dirty_rules() -> str:
+    """The rules over overlays of the raw tables, which spoil rows by the last digits of their keys."""
+    def overlay(table: str, key: str, digits: int, defects: dict[str, dict[int, str]]) -> str:
+        tail = f"TRY_CAST(right({key}, {digits}) AS INT)"
+        each = (f"CASE {tail} {' '.join(f'WHEN {k} THEN {v}' for k, v in at.items())} ELSE {c} END AS {c}" for c, at in defects.items())
+        return f"dirty_{table} AS (SELECT * REPLACE ({', '.join(each)}) FROM raw_{table})"
+
+    tables = [
+        overlay("headers", "claim_id", 3, {
+            "claim_id": {601: "''", 613: "'CLM-same'"}, "member_id": {602: "''"}, "provider_id": {603: "''"},
+            "status": {604: "'Lost'"}, "claim_type": {605: "'Spa'"}, "adjudication_mode": {606: "'Robot'"},
+            "submission_date": {607: "'2025/13/45'", 608: "'2020-01-01'", 611: "'2031-01-01'"},
+            "denial_reason_code": {609: "if(denial_reason_code = '', 'DR01', '')"},
+            "adjudication_date": {610: "'2031-01-01'"}, "payment_date": {612: "'2020-01-01'"}}),
+        overlay("lines", "claim_id", 3, {
+            "claim_id": {701: "''", 702: "'CLM-none'"}, "line_billed_pkr": {703: "'0.01'"}, "claim_line_id": {704: "'LINE-same'"}}),
+        overlay("members", "member_id", 2, {
+            "date_of_birth": {31: "''"}, "policy_id": {32: "''"}, "gender": {33: "'X'"}, "relationship": {34: "'Cousin'"},
+            "member_id": {35: "'MB-same'", 36: "'MB-same'"}}),
+        overlay("providers", "provider_id", 1, {
+            "network_status": {3: "'Maybe'"}, "provider_type": {4: "'Spa'"}, "provider_id": {5: "'PR-same'", 6: "'PR-same'"}}),
+        overlay("policies", "policy_id", 2, {"plan_tier": {7: "'Tin'"}, "copay_pct": {8: "'1.5'"}}),
+    ]
+    bad = failing_keys()
+    for t in ("headers", "lines", "members", "providers", "policies"):
+        bad = bad.replace(f"raw_{t}", f"dirty_{t}")
+    rules = ", ".join(f"('{x.split('|')[0]}', '{x.split('|')[3]}')" for x in CATALOGUE.strip().splitlines())
+    return f"""WITH {', '.join(tables)}, bad AS ({bad})
+        SELECT c.rule_id, (SELECT count(*) FROM bad WHERE bad.rule_id = c.rule_id) AS rows_failed,
+               severity = 'critical' AND EXISTS (SELECT 1 FROM bad WHERE bad.rule_id = c.rule_id) AS stops
+        FROM (VALUES {rules}) c(rule_id, severity)"""
+
+
 def dq(body: str) -> str:
     return f"WITH {rule_results()} {body}"
 
@@ -616,6 +649,7 @@ def bodies() -> dict[str, str]:
         SELECT 'overall' AS scope, 'all' AS name, round({SCORE}, 6) AS score FROM res
         UNION ALL SELECT 'dimension', dimension, round({SCORE}, 6) FROM res GROUP BY dimension
         UNION ALL SELECT 'table', table_name, round({SCORE}, 6) FROM res GROUP BY table_name""")
+    q["dq_dirty_rules"] = dirty_rules()
     q["gate_verdict"] = dq("SELECT rule_id FROM res WHERE severity = 'critical' AND rows_failed > 0")
     q["dq_report"] = dq(f"""
         SELECT 1 AS run_id, round({SCORE}, 2) AS overall_score, count(*) AS rules,
