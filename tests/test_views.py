@@ -233,3 +233,24 @@ def test_views_are_callable_by_name(spark, claims):
     assert views.register_views(claims.marts, claims.raw["claims_header"]) == 17
     assert views.load_view(spark, "v_financial_monthly").count() > 0
     assert spark.sql("SELECT count(*) FROM v_claims_enriched WHERE is_denied = 1").first()[0] > 0
+
+
+def test_industry_without_claims_keeps_its_premium(star):
+    s, _ = star([{}])
+    by = {r.industry: r for r in measures.evaluate(s, ["Total Paid", "Earned Premium"], by=["industry"]).collect()}
+    for r in s["dim_employer_group"].select("industry").distinct().collect():
+        assert r.industry in by and by[r.industry]["Earned Premium"] is not None
+
+
+def test_versions_of_a_provider_and_member_are_one(star):
+    s, _ = star([claim(i) for i in range(1, 7)])
+    second = F.col("claim_id").isin("C001", "C002")
+    cut = {**s}
+    for dim, key in (("dim_provider", "provider_sk"), ("dim_member", "member_sk")):
+        used = s["fct_claim_header"].select(key).distinct()
+        cut[dim] = s[dim].union(s[dim].join(used, key, "left_semi").withColumn(key, F.lit("other")).select(s[dim].columns))
+        cut["fct_claim_header"] = cut["fct_claim_header"].withColumn(key, F.when(second, "other").otherwise(F.col(key)))
+    for view in (network.v_provider_scorecard, network.v_provider_concentration, risk.v_provider_anomaly, consumers.provider_report):
+        assert sorted(map(str, view(cut).collect())) == sorted(map(str, view(s).collect()))
+    assert network.v_provider_scorecard(cut).first().claim_count == 6
+    assert measures.evaluate(cut, ["Total Paid"]).collect() == measures.evaluate(s, ["Total Paid"]).collect()
