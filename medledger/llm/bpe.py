@@ -31,6 +31,13 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def texts_of(spec: dict) -> dict[int, bytes]:
+    """The bytes of each id; added tokens stand for their own text."""
+    letters = byte_letters()
+    found = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items() if all(c in letters for c in t)}
+    return found | {t["id"]: t["content"].encode() for t in spec.get("added_tokens", [])}
+
+
 class MergeList:
     """A merge list: what two neighbouring tokens become, in which order, and how far ahead one must look."""
 
@@ -39,12 +46,11 @@ class MergeList:
         if model["type"] != "BPE" or spec.get("normalizer") or model.get("dropout") or model.get("ignore_merges"):
             raise ValueError("only byte-level BPE without normalizer, dropout or ignored merges")
         letters = byte_letters()
-        as_bytes = lambda token: bytes(letters[c] for c in token)
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         if any(t[k] for t in spec.get("added_tokens", []) for k in ("single_word", "lstrip", "rstrip")):
             raise ValueError("added tokens that look at their neighbours are not supported")
         vocab = {t: i for t, i in model["vocab"].items() if t not in self.added}
-        self.text = {i: as_bytes(t) for t, i in vocab.items()} | {i: t.encode() for t, i in self.added.items()}
+        self.text = texts_of(spec)
         self.of_byte = np.zeros(256, dtype=np.int64)
         for letter, b in letters.items():
             self.of_byte[b] = vocab[letter]
@@ -266,6 +272,18 @@ def _encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+_tables: dict[str, list[bytes | None]] = {}
+
+
+def _table(path: str) -> list[bytes | None]:
+    """The bytes of each id, all that decoding needs."""
+    if path not in _tables:
+        with open(path, encoding="utf-8") as f:
+            text = texts_of(json.load(f))
+        _tables[path] = [text.get(i) for i in range(max(text) + 1)]
+    return _tables[path]
+
+
 def encode_documents(
     docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None
 ) -> DataFrame:
@@ -301,8 +319,7 @@ def decode_documents(encoded: DataFrame, *, tokenizer: str | None = None, read:
     path = tokenizer or default_tokenizer()
 
     def decode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = _encoder(path).merges.text
-        table = [text.get(i) for i in range(max(text) + 1)]
+        table = _table(path)
         for batch in batches:
             column = batch.column(2)
             flat, ends = column.values.to_numpy(zero_copy_only=False), column.offsets.to_numpy()
