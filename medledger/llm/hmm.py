@@ -50,16 +50,12 @@ def encoded(docs: DataFrame, held: Column, id_col: str, text_col: str, chunk_byt
         for number, rows in enumerate(chunks()):
             chunk = base + number
             name: dict[bytes, int] = defaultdict(count().__next__)
-            ids, counts = [], np.zeros(0, dtype=np.int64)
-            for _, out, text in rows:
+            ids = []
+            for _, _, text in rows:
                 words = words_of(text)
                 ids.append(np.fromiter(map(name.__getitem__, words), np.int32, len(words)))
-                if not out and len(words):
-                    more = np.bincount(ids[-1])
-                    if len(more) > len(counts):
-                        counts = np.append(counts, np.zeros(max(len(more), len(counts)) - len(counts), np.int64))
-                    counts[: len(more)] += more
-            counts = np.append(counts, np.zeros(len(name) - len(counts), np.int64))
+            train = [x for x, (_, out, _) in zip(ids, rows, strict=True) if not out]
+            counts = np.bincount(np.concatenate([*train, np.zeros(0, np.int32)]), minlength=len(name))
             for at in range(0, len(rows), 1000):
                 part, n = rows[at : at + 1000], len(rows[at : at + 1000])
                 blobs = [pack(x.tobytes()) for x in ids[at : at + 1000]]
@@ -194,7 +190,7 @@ class HiddenMarkov:
         """Baum-Welch counts of sequences; first[i]: sequence i begins a text."""
         k = len(self.start)
         heads, moves, emits = np.zeros((2, k)), np.zeros((k, k)), np.zeros_like(self.emit)
-        for rows, seen, active in _stacked(sequences, 200_000):
+        for rows, seen, active in _stacked(sequences, 500_000):
             forward = np.zeros((*seen.shape, k))
             scale = np.ones(seen.shape)
             now = np.where(first[rows][:, None], self.start, self.middle) * self.emit[seen[0]]
@@ -232,7 +228,7 @@ def _stacked(sequences: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarra
     at = 0
     while at < len(order):
         longest = int(sizes[order[at]])
-        rows = order[at : at + max(1, min(256, most // max(1, longest)))]
+        rows = order[at : at + max(1, min(1024, most // max(1, longest)))]
         at += len(rows)
         if not longest:
             continue
