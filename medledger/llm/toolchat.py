@@ -102,7 +102,8 @@ def linked_chats(messages: DataFrame, tools: DataFrame) -> DataFrame:
 
     Calls and results meet by (conv_id, id) in a hash join; of several results the first by turn counts, and of several
     calls with an id each gets it. Status: `message`; `linked` and `open` calls; `cycle` for calls that refer to one
-    another; `orphan` results. `message` is canonical JSON: keys sorted, no spaces, null where there is nothing; of a
+    another; `orphan` results without a call; `repeat` results of a call that has an earlier one. A result without content
+    links its call too, with null as the result. `message` is canonical JSON: keys sorted, no spaces, null where there is nothing; of a
     call it holds the checked arguments, the complaints and the result.
 
     Text that is no such object is plain content. A null conv_id or id: shown, never linked. Null text or role: null.
@@ -136,20 +137,21 @@ def linked_chats(messages: DataFrame, tools: DataFrame) -> DataFrame:
     results = parsed.filter("answers is not null").select(
         "conv_id", "turn", F.col("answers").alias("call_id"), get("$.content", "variant").alias("content")
     )
-    first = results.groupBy("conv_id", "call_id").agg(
-        F.min_by(F.to_json("content"), F.struct("turn", F.to_json("content"))).alias("result")
-    )
+    # Equal results of one turn cannot be told apart: they are counted, one is chosen and the others are repeats.
+    told = results.groupBy("conv_id", "call_id", "turn", F.to_json("content").alias("told")).agg(F.count("*").alias("n"))
+    first = told.groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "told")).alias("chosen"))
     as_map = F.when(kind_of(F.col("arguments")) == "object", F.col("arguments").try_cast("map<string,variant>"))
     checked = (
         ordered(calls)
         .join(spec, "tool", "left")
         .join(first, ["conv_id", "call_id"], "left")
         .withColumn("complaints", errors_of(as_map, F.col("spec")))
+        .withColumn("result", F.col("chosen.told"))
     )
     shown = lambda **c: F.to_json(
         F.struct(*(x.alias(k) for k, x in sorted(c.items()))), {"ignoreNullFields": "false"}
     )
-    status = F.when(F.col("in_cycle"), "cycle").when(F.col("result").isNotNull(), "linked").otherwise("open")
+    status = F.when(F.col("in_cycle"), "cycle").when(F.col("chosen").isNotNull(), "linked").otherwise("open")
     call_rows = checked.select(
         "conv_id",
         "order_turn",
@@ -170,12 +172,23 @@ def linked_chats(messages: DataFrame, tools: DataFrame) -> DataFrame:
         "conv_id", F.col("turn").alias("order_turn"), F.lit(0).cast("long").alias("order_step"), "turn", F.lit(0).alias("part"),
         F.lit("orphan").alias("status"), shown(content=F.col("content"), id=F.col("call_id"), role=F.lit("tool")).alias("message"),
     )
+    is_chosen = F.struct("turn", "told").eqNullSafe(F.col("chosen"))
+    repeats = (
+        told.join(first, ["conv_id", "call_id"])
+        .join(known, ["conv_id", "call_id"], "left_semi")
+        .withColumn("again", F.explode(F.array_repeat(F.lit(0), (F.col("n") - is_chosen.cast("int")).cast("int"))))
+        .select(
+            "conv_id", F.col("turn").alias("order_turn"), F.lit(0).cast("long").alias("order_step"), "turn", F.lit(0).alias("part"),
+            F.lit("repeat").alias("status"),
+            shown(content=F.try_parse_json("told"), id=F.col("call_id"), role=F.lit("tool")).alias("message"),
+        )
+    )
     said = F.when(F.col("calls").isNotNull(), get("$.content", "string")).otherwise(F.col("text"))
     plain = parsed.filter("answers is null").select(
         "conv_id", F.col("turn").alias("order_turn"), F.lit(0).cast("long").alias("order_step"), "turn", F.lit(0).alias("part"),
         F.lit("message").alias("status"), shown(content=said, role=F.col("role")).alias("message"),
     )
-    return plain.unionByName(call_rows).unionByName(orphans)
+    return plain.unionByName(call_rows).unionByName(orphans).unionByName(repeats)
 
 
 def with_calls(conversations: DataFrame) -> DataFrame:

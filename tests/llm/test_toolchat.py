@@ -87,3 +87,22 @@ def test_query_against_duckdb(spark):
     want = sorted(map(str, con.fetchall()))
     got = sorted(str(tuple(r[n] for n in names)) for r in queries.op7_tool_call_linking(spark, sf).collect())
     assert got == want
+
+
+def test_every_result_is_shown(spark):
+    tell = lambda i, **more: json.dumps({"tool_call_id": i, **more})
+    rows = [
+        (1, 0, "assistant", json.dumps({"tool_calls": [call("c", "search", text="x", limit=1), call("e", "search", text="x", limit=1)]})),
+        (1, 1, "tool", tell("c", content="first")), (1, 2, "tool", tell("c", content="second")), (1, 3, "tool", tell("c")),
+        (1, 1, "tool", tell("c", content="first")), (1, 4, "tool", tell("e")), (1, None, "tool", tell("e", content=[1])),
+        (1, 5, "tool", tell("e", content=None)), (1, 6, "tool", tell("nobody", content=2)), (1, 6, "tool", tell("nobody", content=2)),
+    ]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = toolchat.linked_chats(table, spark.sql(queries.TOOLS)).collect()
+    shown = sorted((r.status, r.turn or 0, json.loads(r.message)["id"], json.loads(r.message).get("content")) for r in found if not r.part and r.status == "repeat" and r.turn != 4)
+    assert shown[:3] == [("repeat", 1, "c", "first"), ("repeat", 2, "c", "second"), ("repeat", 3, "c", None)]
+    assert sorted(r.status for r in found) == ["linked"] * 2 + ["message"] + ["orphan"] * 2 + ["repeat"] * 5
+    # of a chat with a result that has no content alone, the call is linked
+    alone = spark.createDataFrame([(1, 0, "assistant", rows[0][3]), (1, 4, "tool", tell("e"))], table.schema)
+    linked = [json.loads(r.message) for r in toolchat.linked_chats(alone, spark.sql(queries.TOOLS)).collect() if r.status == "linked"]
+    assert [(c["id"], c["result"]) for c in linked] == [("e", None)]
