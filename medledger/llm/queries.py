@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, hmm, matrices, packing, quantised, secrets, simhash, toolchat, topk, toxicity
+from medledger.llm import bpe, hmm, matrices, packing, quantised, secrets, sentencebpe, simhash, toolchat, topk, toxicity
 from medledger.llm.common import fold_of, read_table
 
 
@@ -98,6 +98,13 @@ def op10_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_serialised_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = sentencebpe.decode_documents(sentencebpe.encode_documents(read_table(spark, sf_dir, "documents")))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -111,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_segment_topk,
         op9_credential_automata,
         op10_packed_matrices,
+        op13_serialised_bpe,
     )
 }
 
