@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +53,18 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().translate(ASCII_LOWER).split()
 
 
+def word_slices(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The words between spaces, from about `size` bytes at a time, so that a very long text is no long list."""
+    at = 0
+    while len(data) - at > size:
+        cut = data.find(b" ", at + size)
+        if cut < 0:
+            break
+        yield data[at:cut].split()
+        at = cut
+    yield data[at:].split() if at else data.split()
+
+
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """(id, component_id) for each id of nodes: component_id is the smallest id reachable by links (a, b).
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from medledger.llm import bpe, hmm, matrices, packing, quantised, secrets, sentencebpe, simhash, toolchat, topk, toxicity
+from medledger.llm import audit, bpe, hmm, matrices, packing, quantised, ranked, secrets, sentencebpe, simhash, toolchat, topk, toxicity
 from medledger.llm.common import fold_of, read_table
 
 
@@ -98,6 +98,14 @@ def op10_packed_matrices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_survival_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op12_hybrid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.ranked_documents(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 def op13_serialised_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     coded = sentencebpe.decode_documents(sentencebpe.encode_documents(read_table(spark, sf_dir, "documents")))
     return coded.select(
@@ -118,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_segment_topk,
         op9_credential_automata,
         op10_packed_matrices,
+        op11_survival_words,
+        op12_hybrid_search,
         op13_serialised_bpe,
     )
 }
@@ -179,4 +189,79 @@ ORACLE_SQL: dict[str, str] = {
             vec_id, score
         from scored qualify "rank" <= 5
     """,
+    "op11_survival_words": r"""
+        with recursive texts as (
+            select doc_id, coalesce(source, '') as part, coalesce("text", '') as t,
+                regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+') as words
+            from documents
+        ), failed as (
+            select doc_id, part, (len(words) < 50)::int
+                + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::int
+                + 4 * (100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t))::int
+                + 8 * regexp_matches(t, '[#$%&*|]')::int
+                + 16 * coalesce(doc_id > min(doc_id) over (partition by t), false)::int as fails
+            from texts
+        ), marks as (
+            select doc_id, coalesce(max((quality = 1)::int), 0) as good, coalesce(max((toxic = 1)::int), 0) as toxic
+            from labels group by doc_id
+        ), cells as (
+            select part, fails, count(*) as n, coalesce(sum(good), 0) as good, coalesce(sum(toxic), 0) as toxic
+            from failed left join marks on marks.doc_id = failed.doc_id group by part, fails
+        ), orders as (
+            select '' as filter_order
+            union all
+            select filter_order || letter from orders, unnest(['A', 'B', 'C', 'D', 'E']) as l(letter)
+            where not contains(filter_order, letter)
+        ), steps as (
+            select filter_order, step, 1 << (ascii(filter_order[step]) - 65) as bit,
+                list_sum([1 << (ascii(filter_order[i]) - 65) for i in range(1, step + 1)])::int as later
+            from orders, range(1, 6) as s(step) where length(filter_order) = 5
+        ), told as (
+            select part, filter_order, step, bit,
+                sum(n) filter (where fails & later = 0) as kept,
+                sum(n) filter (where fails & later = bit) as removed,
+                sum(n) filter (where fails & bit > 0 and fails & later <> bit) as redundant,
+                sum(n) filter (where fails = bit) as unique_fails,
+                sum(good) filter (where fails & later = bit) as good_lost,
+                sum(toxic) filter (where fails & later = bit) as toxic_lost
+            from cells, steps group by all
+        )
+        select part, filter_order, step::int as step, coalesce(kept, 0)::bigint as kept,
+            coalesce(removed, 0)::bigint as removed, coalesce(redundant, 0)::bigint as redundant,
+            coalesce(unique_fails, 0)::bigint as unique_fails, coalesce(good_lost, 0)::bigint as good_lost,
+            coalesce(toxic_lost, 0)::bigint as toxic_lost,
+            coalesce(sum(removed) over (partition by part, bit), 0)::bigint as shapley
+        from told
+    """,
+    "op12_hybrid_search": r"""
+        with doc_terms as (
+            select doc_id, unnest(regexp_extract_all(
+                translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from documents
+        ), item_terms as (
+            select item_id, unnest(regexp_extract_all(
+                translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+            from benchmark
+        ), sizes as (
+            select doc_id, count(*) as n from doc_terms group by doc_id
+        ), total as (
+            select count(*)::bigint as n_docs, sum(n)::bigint as n_terms from sizes
+        ), postings as (
+            select doc_id, term, count(*)::bigint as tf from doc_terms
+            where term in (select term from item_terms) group by all
+        ), weights as (
+            select term, floor(1000 * ln((2 * any_value(n_docs) + 2)::double / (2 * count(*) + 1)))::bigint as w
+            from postings, total group by term
+        ), scored as (
+            select item_id, doc_id,
+                sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // n_terms))))::bigint as score
+            from (select item_id, term, count(*)::bigint as times from item_terms group by all) asked
+            join postings using (term) join weights using (term) join sizes using (doc_id), total
+            group by item_id, doc_id
+        )
+        select item_id, (row_number() over (partition by item_id order by score desc, doc_id))::int as "rank", doc_id, score
+        from scored where score > 0 qualify "rank" <= 10
+    """,
 }
