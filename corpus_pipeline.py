@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from medledger.llm import packing, resemblance, secrets, toxicity
+from medledger.llm import packing, secrets, simhash, toxicity
 from medledger.llm.common import read_table, shared_folder
 
 
@@ -18,17 +18,31 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies, the document with the smallest doc_id.
+    """One document of each SimHash group (three-word shingles, 3 bits): of the smallest doc_id, the least fingerprint.
 
-    Near copies share at least 0.8 of their five-word shingles. Rows that repeat a doc_id and its text are one document,
-    of which one row stays; rows that share a doc_id alone are documents of their own; rows without a doc_id all stay.
+    Rows that repeat a doc_id and its text are one document, of which one row stays; rows that share a doc_id alone are
+    documents of their own. Rows without a doc_id belong to no group and all stay. Null and empty texts are one group. No
+    rows: none. The groups come from narrow rows; each text is shuffled once, repeats of a row folded before that.
     """
-    first = resemblance.first_of_each_group(docs).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text"))
-    of_text = resemblance.text_hash("text")
-    row = F.row_number().over(Window.partitionBy("doc_id", of_text).orderBy(F.length("text")))
-    is_first = (docs["doc_id"] == F.col("_id")) & (of_text == F.col("_text"))
-    kept = docs.join(first, is_first, "left_semi").withColumn("_row", row).filter("_row = 1").select(docs.columns)
-    return kept.union(docs.filter("doc_id is null"))
+    named = docs.toDF(*(f"c{k}" for k in range(len(docs.columns))))  # no name of the caller's can clash
+    doc_id, text = (named[f"c{docs.columns.index(c)}"] for c in ("doc_id", "text"))
+    text_hash = F.xxhash64(F.coalesce(text, F.lit("")))
+    found = simhash.near_duplicates(named.select(doc_id.alias("doc_id"), text.alias("text"), text_hash.alias("h")), tag=F.col("h"))
+    first = (
+        found.filter("doc_id = component_id")
+        .groupBy("root")
+        .agg(F.min(F.struct("doc_id", "fp", "tag")).alias("least"))
+        .select(F.col("least.doc_id").alias("keep_id"), F.col("least.tag").alias("keep_hash"))
+    )
+    with_id = named.filter(doc_id.isNotNull()).withColumns({"h": text_hash, "d": doc_id.cast("long")})
+    one_row = F.row_number().over(Window.partitionBy("d", "h").orderBy(F.lit(0)))
+    kept = (
+        with_id.withColumn("row", one_row)
+        .filter("row = 1")
+        .join(first, (F.col("d") == F.col("keep_id")) & (F.col("h") == F.col("keep_hash")), "left_semi")
+        .select(named.columns)
+    )
+    return kept.union(named.filter(doc_id.isNull())).toDF(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medledger.llm.blocks import BlockLabels
@@ -36,19 +36,27 @@ def fingerprint(text: str | None, shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long. Null or empty texts, and those of white space: 0."""
+def fingerprints(
+    docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, tag: Column | None = None
+) -> DataFrame:
+    """(doc_id, tag, fp): fp holds the 64 bits as a signed long. Null or empty texts, and those of white space: 0.
+
+    `tag` is a long of the caller's that goes with the row, null if none is given. Repeated rows: each has its own. No
+    rows: none. A text is hashed 8,192 words at a time; its words are held at once.
+    """
 
     def make(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                found = np.array([fingerprint(t, shingle) for t in part.column(1).to_pylist()], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+                found = np.array([fingerprint(t, shingle) for t in part.column(2).to_pylist()], dtype=np.uint64)
+                columns = [*part.columns[:2], pa.array(found.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tag", "fp"])
 
-    return docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text")).mapInArrow(
-        make, "doc_id long, fp long"
-    )
+    tag = F.lit(None) if tag is None else tag
+    return docs.select(
+        docs[id_col].cast("long").alias("id"), tag.cast("long").alias("tag"), docs[text_col].cast("string").alias("text")
+    ).mapInArrow(make, "doc_id long, tag long, fp long")
 
 
 def variants(fp: np.ndarray, segments: int) -> tuple[np.ndarray, np.ndarray]:
@@ -74,8 +82,9 @@ def links_within(distinct: DataFrame, *, distance: int = 3, block: int = 2048) -
     (two segments for 3 bits). Each segment is indexed with every one of its bits as a wildcard, so such a pair shares
     a signature; an equality on signatures brings them together and the distance is verified. Pairs that agree in the
     whole segment meet in all its signatures and are compared in the first alone; the others take only pairs that differ
-    in the wildcard bit. Signatures with more than `block` members are dealt out anew as pairs of blocks, so that none
-    is held by one task. Of what is linked, a spanning set leaves each block, never all pairs.
+    in the wildcard bit. Signatures with more than `block` members are dealt out anew as pairs of blocks: a group holds
+    two blocks at most, whatever the signature's size. Of what is linked, a spanning set leaves each group, never all
+    pairs. No rows: no links.
     """
     segments = max(2, distance // 2 + 1)
     while 64 % segments:
@@ -114,12 +123,13 @@ def links_within(distinct: DataFrame, *, distance: int = 3, block: int = 2048) -
     )
     rows = first.filter("key is not null").select("key", "bit", F.col("a").alias("fp"))
     blocks = rows.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    # Block b's members meet the members of the blocks before b as guests: each pair of blocks once.
+    # Each pair of blocks is a group: the lower block's members, and the higher one's as guests.
     dealt = (
         rows.join(blocks, "key")
         .withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")).cast("int"))
-        .withColumn("at", F.explode(F.expr("sequence(own, blocks - 1)")))
-        .select("key", "at", (F.col("own") != F.col("at")).alias("guest"), "bit", "fp")
+        .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+        .withColumn("at", F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other"))
+        .select("key", "at", (F.col("own") > F.col("other")).alias("guest"), "bit", "fp")
     )
     second = dealt.repartition("key", "at").sortWithinPartitions("key", "at", "guest", "fp").mapInArrow(crossed, _LINKS)
     return first.filter("key is null").select("a", "b").union(second.select("a", "b"))
@@ -173,7 +183,7 @@ def _runs(
 def _linked_in(rows: dict[str, np.ndarray], width: int, distance: int) -> np.ndarray:
     """Pairs of fingerprints that tell the components within each group of the rows."""
     key, fp, bit = rows["key"], rows["fp"].view(np.uint64), rows["bit"]
-    at = rows.get("at", np.zeros(len(key), dtype=np.int32))
+    at = rows.get("at", np.zeros(len(key), dtype=np.int64))
     guest = rows.get("guest", np.zeros(len(key), dtype=bool)).astype(bool)
     starts = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])))
     sizes = np.diff(np.append(starts, len(key)))
@@ -184,15 +194,15 @@ def _linked_in(rows: dict[str, np.ndarray], width: int, distance: int) -> np.nda
     both = np.minimum.reduceat(bit, starts) < np.maximum.reduceat(bit, starts)
     for k in np.flatnonzero((sizes > 2) & (whole | both)):
         part = slice(starts[k], starts[k] + sizes[k])
-        own, side, members = fp[part], bit[part], ~guest[part]
-        if not members.any():
-            continue
-        labels = BlockLabels(rows["fp"][part][members])
-        for a in range(0, len(own), 512):
-            linked = np.bitwise_count(own[a : a + 512, None] ^ own[None, members]) <= distance
+        members = np.flatnonzero(~guest[part]) + starts[k]
+        guests = np.flatnonzero(guest[part]) + starts[k] if guest[part].any() else members
+        labels = BlockLabels(rows["fp"][members])
+        for a in range(0, len(guests), 512):
+            some = guests[a : a + 512]
+            linked = np.bitwise_count(fp[some, None] ^ fp[None, members]) <= distance
             if not whole[k]:
-                linked &= side[a : a + 512, None] != side[None, members]
-            found.append(labels.link(rows["fp"][part][a : a + 512], linked))
+                linked &= bit[some, None] != bit[None, members]
+            found.append(labels.link(rows["fp"][some], linked))
     return np.unique(np.concatenate(found), axis=0)
 
 
@@ -204,20 +214,22 @@ def near_duplicates(
     shingle: int = 3,
     distance: int = 3,
     block: int = 2048,
+    tag: Column | None = None,
 ) -> DataFrame:
-    """(doc_id, fp, component_id) of each document: component_id is the smallest doc_id reachable by links, its own too.
+    """(doc_id, tag, fp, root, component_id) of each document: component_id is the smallest doc_id reachable by links, its
+    own too; root is the least fingerprint reachable, which no two components share even where doc_ids repeat.
 
     Documents link if their fingerprints differ in at most `distance` bits. Equal fingerprints are one class from the
     start, so copies are never paired; classes are compared by `links_within` and joined by `components`.
 
-    Null or empty text: fingerprint 0, linked like any other. Repeated doc_ids: one row each, with equal results. A null
-    doc_id gets a null component unless its class has another id. No rows: none. Other columns are not read.
+    Null or empty text: fingerprint 0, linked like any other. Repeated doc_ids: one row each, by its own text. A null
+    doc_id gets a null component unless its class has another id. No rows: none. Other columns are not read; `tag`, a
+    long of the caller's, goes with its row.
     """
-    marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle), "fingerprints")
+    marked = written(fingerprints(docs, id_col=id_col, text_col=text_col, shingle=shingle, tag=tag), "fingerprints")
     classes = written(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "fingerprint-classes")
     links = links_within(classes, distance=distance, block=block)
     joined = components(classes.select(F.col("fp").alias("id")), links)
-    named = classes.join(joined, classes["fp"] == joined["id"]).select("fp", "least", "component_id")
-    least = named.groupBy("component_id").agg(F.min("least").alias("doc"))
-    of_fp = named.join(least, "component_id").select("fp", F.col("doc").alias("component_id"))
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    named = classes.join(joined, classes["fp"] == joined["id"]).select("fp", "least", F.col("component_id").alias("root"))
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
+    return marked.join(named.join(least, "root").drop("least"), "fp").select("doc_id", "tag", "fp", "root", "component_id")

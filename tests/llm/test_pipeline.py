@@ -4,6 +4,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -91,8 +92,21 @@ def test_odd_documents_pass_through(spark, docs, no_docs, texts, tmp_path):
             assert {p.doc_id for p in pieces} == set(kept)
 
 
+def test_near_dedup_stage_on_repeats_and_clashing_names(spark):
+    text = " ".join(f"word{k}" for k in range(40))
+    rows = [(3, text, 7, 1), (3, text, 8, 2), (3, "another text altogether", 9, 3), (5, text, 1, 4), (None, text, 1, 5)]
+    rows += [(6, None, 1, 6), (4, "", 1, 7), (9, "alone", 1, 8), (9, "alone", 1, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, c0 int")
+    made = corpus_pipeline.keep_one_of_each_group(spark, docs.repartition(3), SF)
+    assert made.columns == docs.columns
+    got = sorted((str(r.doc_id), r.text) for r in made.collect())
+    assert got == sorted([("3", text), ("3", "another text altogether"), ("4", ""), ("9", "alone"), ("None", text)])
+    hidden = docs.select("doc_id", "text", F.col("_row").alias("_id"), F.col("c0").alias("_text"))
+    assert corpus_pipeline.keep_one_of_each_group(spark, hidden, SF).count() == 5
+
+
 def test_every_operator_is_registered():
     names = entry.queries()
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(q.startswith(f"op{n}_") for q in names) == 1
     assert "pipeline" in names and set(entry.oracle_sql()) <= set(names)
