@@ -22,6 +22,9 @@ _WHITE = bytes.maketrans(b"\t\n\v\f\r", b"     ")
 _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _MARKS = b"#$%&*|"
 
+#: A text is hot if it has more than this part of all documents.
+HOT = 1024
+
 COUNTED = ("all", "good", "toxic")
 _COUNTS = [f"{kind}_{s}" for kind in COUNTED for s in range(SUBSETS)]
 
@@ -71,8 +74,9 @@ def survival_words(
     """(doc_id, part, good, toxic, word) of each document; bit s of `word` is set if it survives the subset s of filters.
 
     Only (id, part, SHA-256 of the text, failures) of a document is shuffled, never a text. Texts that repeat are found
-    by a minimum per digest, added up before the shuffle; digests and ids with many rows are joined as adaptive
-    execution splits them.
+    by a minimum per digest, added up before the shuffle. A text with over one in `HOT` of all rows is looked up by
+    broadcast, and there are fewer than `HOT` such texts at any size; the others are joined by digest. Ids with many rows
+    are joined as adaptive execution splits them.
 
     A null text counts as empty, a null part as the empty string. Equal texts under one doc_id: none is the later one. A
     null doc_id has no order: it neither fails E nor makes others fail it, and has no labels. Repeated labels of a doc_id
@@ -97,8 +101,13 @@ def survival_words(
         docs[text_col].cast("string").alias("text"),
     )
     seen = written(read.mapInArrow(look, "doc_id long, part string, digest binary, failed int"), "filter-failures")
-    repeated = (
-        seen.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    repeated = written(
+        seen.groupBy("digest").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1"), "repeated-texts"
+    )
+    often = F.col("n") > max(1, seen.count() // HOT)
+    hot, others = F.broadcast(repeated.filter(often).drop("n")), repeated.filter(~often).drop("n")
+    with_least = seen.join(hot, "digest").unionByName(
+        seen.join(hot, "digest", "left_anti").join(others, "digest", "left")
     )
     marked = (
         labels.select(labels[id_col].cast("long").alias("doc_id"), labels["quality"], labels["toxic"])
@@ -110,8 +119,7 @@ def survival_words(
     failed = F.col("failed").bitwiseOR(F.shiftleft(later, 4))
     word = F.element_at(F.array(*(F.lit(int(w)).cast("long") for w in WORDS)), failed + 1)
     return (
-        seen.join(repeated, "digest", "left")
-        .join(marked, "doc_id", "left")
+        with_least.join(marked, "doc_id", "left")
         .select(
             "doc_id",
             "part",
