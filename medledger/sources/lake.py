@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 MONTH = "submission_month"
 
+#: A landed table has its rows in this partition; what could not be read lies in others beside them.
+KIND, LOADED = "landing_kind", "loaded"
+
 
 @dataclass(frozen=True)
 class Lake:
@@ -20,7 +23,8 @@ class Lake:
         return f"{self.root}/{layer}/{name}"
 
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(layer, name))
+        df = self.spark.read.parquet(self.path(layer, name))
+        return df.filter(F.col(KIND) == LOADED).drop(KIND, "refused", "reason") if KIND in df.columns else df
 
     def replace(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(layer, name))
