@@ -13,8 +13,9 @@ from medledger.operators.staging import stage_all
 from medledger.plans import consumers
 from medledger.plans.views import register_views
 from medledger.quality import assertions, engine
+from medledger.sources import versions
 from medledger.sources.lake import Lake
-from medledger.sources.landing import ingest_all, union_all
+from medledger.sources.landing import count_rows, ingest_all, union_all
 from medledger.sources.schemas import RAW_TABLES
 
 
@@ -24,6 +25,7 @@ class Settings:
     fail_on_critical: bool = True
     run_assertions: bool = True
     export: bool = True
+    on_malformed: str = "stop"  # or "keep": rows that cannot be read are stored aside and the load goes on
 
 
 class AssertionsFailed(RuntimeError):
@@ -72,17 +74,31 @@ def export_reports(lake: Lake, marts: dict[str, DataFrame], run: engine.QualityR
     out("dq_report", engine.report(run.results), "json")
 
 
+def publish_marts(lake: Lake, raw: Lake, marts: Lake, run_id: int | None = None) -> versions.Version:
+    """Make stored raw and mart tables the newest version of ``lake``."""
+    layers = {"raw": (raw, RAW_TABLES), "marts": (marts, star_ops.MARTS)}
+    return versions.publish(lake, layers, quality_run=run_id)
+
+
 def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
-    """Stops with ``QualityGateError`` before the star is touched if a critical rule fails."""
-    ingest_all(lake, settings.landing_dir)
-    raw = lake.tables("raw", RAW_TABLES)
+    """Landing files to a published version. Raw and mart tables are written to a folder of their own, and readers see
+    them once all is checked: a run that stops, wherever it does, leaves the version before it as the newest.
+
+    Stops with ``MalformedRows`` on rows that cannot be read (unless told to keep them aside), with ``QualityGateError``
+    before the star is built if a critical rule fails, and with ``AssertionsFailed`` before it is published. Quality runs
+    and exports are kept for the lake as a whole.
+    """
+    made = versions.draft(lake)
+    ingest_all(made, settings.landing_dir, settings.on_malformed)
+    raw = made.tables("raw", RAW_TABLES)
     register_sql_functions(lake.spark)
     run = engine.run(lake, raw)
     if settings.fail_on_critical:
         engine.check_gate(run.results, run.unread)
-    marts = build_marts(lake, raw)
+    marts = build_marts(made, raw)
     if settings.run_assertions:
-        check_marts(lake, marts)
+        check_marts(made, marts)
+    publish_marts(lake, made, made, run.run_id)
     register_views(marts, raw["claims_header"])
     if settings.export:
         export_reports(lake, marts, run)
@@ -91,8 +107,6 @@ def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
 
 def layer_counts(lake: Lake) -> DataFrame:
     """Rows per stored table of the raw and mart layers."""
-    from medledger.sources.landing import count_rows
-
     frames = []
     for layer, names in (("raw", RAW_TABLES), ("marts", star_ops.MARTS)):
         frames += [count_rows(lake.read(layer, n), n).withColumn("layer", F.lit(layer)) for n in names]

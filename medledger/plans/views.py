@@ -1,4 +1,4 @@
-"""The reporting views by name, registered as temporary views over the stored star."""
+"""The reporting views by name, over the stored star: of this session's build, or of a published version."""
 
 from __future__ import annotations
 
@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from medledger.plans import clinical, financial, network, operations, risk
 from medledger.plans.enriched import Star, v_claims_enriched
+from medledger.sources import versions
+from medledger.sources.lake import Lake
 from medledger.sources.landing import count_rows, union_all
 
 STAR_VIEWS: dict[str, Callable[[Star], DataFrame]] = {
@@ -54,6 +56,23 @@ def load_view(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def attach(lake: Lake, number: int | None = None) -> versions.Version:
+    """Make every view of a published version callable by name in this session, in SQL too.
+
+    The version is resolved once: whatever is published later, these names keep their data until they are attached
+    anew. Nothing is computed here; a view reads the version's tables when it is queried.
+    """
+    version = versions.open_version(lake, number)
+    register_views(version.tables("marts"), version.read("raw", "claims_header"))
+    return version
+
+
+def published_view(lake: Lake, name: str, number: int | None = None) -> DataFrame:
+    """One view of a published version, without registering names."""
+    version = versions.open_version(lake, number)
+    return view(name, version.tables("marts"), version.read("raw", "claims_header"))
+
+
 def smoke_check(star: Star, raw_headers: DataFrame) -> DataFrame:
     """Row count of every view, and whether the three that must not be empty have rows."""
     counts = union_all([count_rows(df, n) for n, df in all_views(star, raw_headers).items()])

@@ -17,6 +17,7 @@ from medledger.functions.scalars import MONEY, SHARE
 from medledger.operators.duplicates import repeated_keys, surplus_claims
 from medledger.operators.staging import with_parsed
 from medledger.quality.rules import RECORD_KEY, RULES, WEIGHT, FirstOnly, KnownParent, RowCheck, Rule, UniqueKey
+from medledger.sources import commits
 from medledger.sources.lake import Lake
 from medledger.sources.landing import count_rows, union_all
 from medledger.sources.schemas import NUMBER_COLUMNS
@@ -192,20 +193,40 @@ class QualityRun:
         return score(self.results).first()["score"]
 
 
-def next_run_id(lake: Lake) -> int:
-    if not lake.exists("dq", "dq_results"):
-        return 1
-    last = lake.read("dq", "dq_results").agg(F.max("run_id")).first()[0]
-    return (last or 0) + 1
+RUN_IDS = "_run_ids"
 
 
-def run(lake: Lake, raw: dict[str, DataFrame], rules: list[Rule] | None = None, run_id: int | None = None) -> QualityRun:
+class RunExists(ValueError):
+    """A quality run of that id has been started before."""
+
+
+def claim_run_id(lake: Lake, run_id: int | None = None, replace: bool = False) -> int:
+    """An id that no other run has: the next free one, or ``run_id`` if it is free or is to be replaced.
+
+    An id is claimed by making its marker exclusively in the lake's folder, before a row is written, so two runs that
+    start at once get two ids.
+    """
+    spark, folder = lake.spark, lake.path("dq", RUN_IDS)
+    stored = lake.read("dq", "dq_results") if lake.exists("dq", "dq_results") else None
+    if run_id is None:
+        last = stored.agg(F.max("run_id")).first()[0] if stored is not None else None  # runs older than the markers
+        return commits.claim_next(spark, folder, {}, at_least=(last or 0) + 1)
+    fresh = commits.create(spark, folder, run_id, {})
+    known = not fresh or (stored is not None and not stored.filter(F.col("run_id") == run_id).isEmpty())
+    if known and not replace:
+        raise RunExists(f"quality run {run_id} exists; pass replace=True to write it again")
+    return run_id
+
+
+def run(lake: Lake, raw: dict[str, DataFrame], rules: list[Rule] | None = None, run_id: int | None = None,
+        replace: bool = False) -> QualityRun:
     """Write the failing keys, count them from what was written, write the results.
 
-    Both tables are partitioned by run, and writing a run again replaces just that run, so a run
-    repeated after a failure leaves no second copy.
+    The run has an id of its own (``claim_run_id``). Tables are partitioned by run, and each write replaces just the
+    partition of its run, so runs at the same time keep out of each other's way, and a run repeated after a failure
+    (``run_id`` with ``replace``) leaves no second copy.
     """
-    run_id = next_run_id(lake) if run_id is None else run_id
+    run_id = claim_run_id(lake, run_id, replace)
     now = F.current_timestamp()
     found = failed_records(raw, rules).select(F.lit(run_id).alias("run_id"), "*", now.alias("captured_at"))
     stored = lake.replace_partition("dq", "dq_failed_records", found, "run_id").filter(F.col("run_id") == run_id)

@@ -6,6 +6,7 @@ from medledger.functions import register_sql_functions  # noqa: F401
 from medledger.plans.pipeline import AssertionsFailed, Settings, check_marts, run_pipeline
 from medledger.quality import assertions, engine
 from medledger.quality.rules import RULES, Dimension, FirstOnly, Rule, RowCheck, Severity, UniqueKey, missing, rules_by_dimension
+from medledger.sources import versions
 from medledger.sources.derive import injected_defects
 from medledger.sources.schemas import RAW_COLUMNS, RAW_TABLES
 from tests.test_cleaning import HEADER, MEMBER
@@ -150,7 +151,9 @@ def test_runs_accumulate_and_a_repeat_replaces(lake, raw):
     r = raw([dict(adjudication_mode="")])
     a, b = engine.run(lake, r), engine.run(lake, r)
     assert (a.run_id, b.run_id) == (1, 2)
-    engine.run(lake, r, run_id=2)
+    with pytest.raises(engine.RunExists):
+        engine.run(lake, r, run_id=2)
+    engine.run(lake, r, run_id=2, replace=True)
     stored = lake.read("dq", "dq_results")
     assert stored.groupBy("run_id").count().orderBy("run_id").collect() == [(1, 39), (2, 39)]
     assert lake.read("dq", "dq_failed_records").count() == 2
@@ -190,7 +193,7 @@ def test_pipeline_end_to_end(claims, lake, tmp_path):
     assert lake.read("exports", "claims_detail").count() == marts["fct_claim_header"].count()
     assert lake.spark.read.json(lake.path("exports", "dq_report")).first().overall_score > 80
     assert lake.spark.table("v_pmpm").count() > 0
-    assert lake.read("raw", "_ingest_audit").count() == len(RAW_TABLES)
+    assert versions.open_version(lake).read("raw", "_ingest_audit").count() == len(RAW_TABLES)
 
 
 def test_gate_stops_before_the_star(claims, lake, tmp_path):
@@ -203,7 +206,7 @@ def test_gate_stops_before_the_star(claims, lake, tmp_path):
     with pytest.raises(engine.QualityGateError) as e:
         run_pipeline(lake, Settings(str(landing)))
     assert e.value.rule_ids == ["U-PRV-ID"] and e.value.exit_code == 2
-    assert not lake.exists("marts", "dim_date")
+    assert versions.numbers(lake) == []
     assert lake.read("dq", "dq_results").count() == 39
 
 
