@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import TABLES, table
+from medledger.catalogue import QUERIES
 from tests.conftest import SF_DIR
 
 ORACLE = entry.oracle_sql()
@@ -18,11 +19,11 @@ def duck():
     return con
 
 
-def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(ORACLE)
+def test_every_claims_query_has_an_oracle():
+    assert set(QUERIES) <= set(ORACLE) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(ORACLE))
 def test_matches_duckdb(name, spark, duck):
     df = entry.queries()[name](spark, SF_DIR)
     cur = duck.execute(ORACLE[name])
