@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from medledger.functions import mean_of, ratio
 from medledger.plans.enriched import Star, enriched, look_up, submitted_between
 from medledger.plans.financial import rows, v_financial_monthly, v_mlr_by_group
-from medledger.plans.network import provider_fold, v_network_cost_diff, v_provider_concentration, v_provider_scorecard
+from medledger.plans.network import provider_fold, provider_spend, v_network_cost_diff, v_provider_scorecard
 from medledger.plans.operations import quantile
 from medledger.plans.risk import v_provider_anomaly
 from medledger.sources.landing import union_all
@@ -66,28 +66,32 @@ def claims_between(star: Star, date_from: str, date_to: str, columns: list[str]
 def filter_domains(star: Star) -> DataFrame:
     """What the page filters offer: bounds of the claim date and the sorted values of four columns.
 
-    Each column reads one key column of the claims, folded to its distinct values before it meets
-    the dimension; the claims themselves are never joined.
+    One pass over five columns of the claims: each row gives its five keys, folded to distinct ones before they are
+    shuffled, and these meet the dimensions in one join. The claims themselves are never joined.
     """
     claims = star["fct_claim_header"]
-
-    def seen(dim: str, key: str, fact_key: str | None = None) -> DataFrame:
-        keys = claims.select(F.col(fact_key or key).alias(key)).distinct()
-        return star[dim].join(keys, key, "left_semi")
-
-    def values(name: str, df: DataFrame, column: str) -> DataFrame:
-        return df.select(F.lit(name).alias("filter"), F.col(column).cast("string").alias("value")).distinct()
-
-    bounds = seen("dim_date", "date_key", "submission_date_key").agg(
-        F.min("date_day").alias("claim_date_min"), F.max("date_day").alias("claim_date_max"))
-    parts = [
-        values("employer_name", seen("dim_employer_group", "employer_group_sk"), "employer_name"),
-        values("claim_type", claims, "claim_type"),
-        values("member_city", seen("dim_member", "member_sk"), "city"),
-        values("network_status", seen("dim_provider", "provider_sk"), "network_status"),
-        bounds.unpivot([], bounds.columns, "filter", "value").withColumn("value", F.col("value").cast("string")),
-    ]
-    return union_all(parts).filter(F.col("value").isNotNull()).orderBy("filter", "value")
+    keys = ["submission_date_key", "employer_group_sk", "claim_type", "member_sk", "provider_sk"]
+    each = F.array(*(F.struct(F.lit(k).alias("of"), F.col(k).cast("string").alias("key")) for k in keys))
+    used = claims.select(F.explode(each).alias("x")).select("x.*").distinct()
+
+    def offer(key: str, dim: str, dim_key: str, name: str, column: str) -> DataFrame:
+        return star[dim].select(F.lit(key).alias("of"), F.col(dim_key).cast("string").alias("key"), F.lit(name).alias("filter"),
+                                F.col(column).cast("string").alias("value"))
+
+    offers = union_all([
+        offer("submission_date_key", "dim_date", "date_key", "claim_date", "date_day"),
+        offer("employer_group_sk", "dim_employer_group", "employer_group_sk", "employer_name", "employer_name"),
+        offer("claim_type", "dim_claim_type", "claim_type", "claim_type", "claim_type"),
+        offer("member_sk", "dim_member", "member_sk", "member_city", "city"),
+        offer("provider_sk", "dim_provider", "provider_sk", "network_status", "network_status"),
+    ])
+    is_date = F.col("filter") == "claim_date"
+    found = used.join(offers, ["of", "key"]).filter("value IS NOT NULL").groupBy(
+        "filter", F.when(~is_date, F.col("value")).alias("value")).agg(F.min("value").alias("least"), F.max("value").alias("most"))
+    row = lambda name, value: F.struct(name.alias("filter"), value.alias("value"))
+    bounds = F.array(row(F.lit("claim_date_min"), F.col("least")), row(F.lit("claim_date_max"), F.col("most")))
+    shown = F.when(is_date, bounds).otherwise(F.array(row(F.col("filter"), F.col("value"))))
+    return found.select(F.explode(shown).alias("x")).select("x.*").orderBy("filter", "value")
 
 
 def executive_monthly(star: Star, filters: Filters | None = None) -> DataFrame:
@@ -175,8 +179,11 @@ def top_loss_ratios(star: Star, n: int = 15) -> DataFrame:
 
 
 def top_share_of_spend(star: Star, n: int = 10) -> DataFrame:
-    c = v_provider_concentration(star).filter(F.col("spend_rank") <= n)
-    return c.agg((F.sum("spend_share") * 100).alias("top_share_pct"))
+    """The n providers that lead ``v_provider_concentration``, by its order but without ranking the others."""
+    order = (F.desc_nulls_last("paid_pkr"), F.md5("provider_id"), F.col("provider_id"))
+    total = star["fct_claim_header"].agg(F.sum("paid_amount_pkr").alias("t")).scalar()
+    top = provider_spend(star).orderBy(*order).limit(n).withColumn("_total", total)
+    return top.agg((F.sum(ratio("paid_pkr", "_total", positive=False)) * 100).alias("top_share_pct"))
 
 
 def top_network_multiples(star: Star, n: int = 15) -> DataFrame:

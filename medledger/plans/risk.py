@@ -7,21 +7,20 @@ from pyspark.sql import functions as F
 
 from medledger.functions import mean_of, ratio
 from medledger.operators.cleaning import SIGNATURE
-from medledger.operators.joins import null_safe_join
 from medledger.operators.duplicates import repeated_signatures, signature_copies
+from medledger.operators.joins import null_safe_join
+from medledger.operators.ranking import shared
 from medledger.plans.enriched import Star, look_up
 from medledger.plans.financial import rows
 from medledger.plans.network import provider_fold
-from medledger.session import settle
 
 
 def v_provider_anomaly(star: Star, sigmas: int = 2) -> DataFrame:
     """Mean claim value of a provider against all providers of its type."""
     who = ["provider_id", "hospital_name", "provider_type", "network_status"]
     t = provider_fold(star, who, claim_count=rows(), billed=F.sum("billed_amount_pkr"), n=F.count("billed_amount_pkr"))
-    # Provider grain, read by the peer statistics and by the join: settled, so the claims are
-    # added up once (the two readers prune different columns and would not share a shuffle).
-    p = settle(t.select(*who, "claim_count", ratio("billed", "n").alias("avg_claim_value")))
+    # Provider grain, read by the peer statistics and by the join: shared, so the claims are added up once.
+    p = shared(t).select(*who, "claim_count", ratio("billed", "n").alias("avg_claim_value"))
     peers = p.groupBy("provider_type").agg(
         F.avg("avg_claim_value").alias("peer_mean"), F.stddev_pop("avg_claim_value").alias("peer_sd"))
     v, m, s = F.col("avg_claim_value"), F.col("peer_mean"), F.col("peer_sd")
@@ -54,8 +53,8 @@ def v_high_frequency_members(star: Star, sigmas: int = 2) -> DataFrame:
     """Members with more claims than mean + 2 sigma. Population statistics are one scalar row."""
     per_sk = star["fct_claim_header"].groupBy("member_sk").agg(
         rows().alias("claim_count"), F.sum("paid_amount_pkr").alias("paid_pkr"))
-    # The versions of a member are added up once more; read by the statistics and by the filter, so settled.
-    per_member = settle(look_up(per_sk, star, ["member_id"]).groupBy("member_id").agg(
+    # The versions of a member are added up once more; read by the statistics and by the filter, so shared.
+    per_member = shared(look_up(per_sk, star, ["member_id"]).groupBy("member_id").agg(
         F.sum("claim_count").alias("claim_count"), F.sum("paid_pkr").alias("paid_pkr")))
     stats = per_member.agg(F.struct(
         mean_of("claim_count").alias("mean_freq"), F.stddev_pop("claim_count").alias("sd_freq")).alias("s"))
@@ -83,8 +82,8 @@ def upcoding_proxy(star: Star) -> DataFrame:
         F.sum("category_billed_pkr").alias("category_billed_pkr"))
     total = per.groupBy("provider_id", "provider_type").agg(F.sum("category_billed_pkr").alias("_total"))
     share = null_safe_join(per, total, ["provider_id", "provider_type"])
-    p = settle(share.select("provider_id", "provider_type", "category", "category_billed_pkr",
-                            ratio("category_billed_pkr", "_total").alias("category_share")))
+    p = share.select("provider_id", "provider_type", "category", "category_billed_pkr",
+                     ratio("category_billed_pkr", "_total").alias("category_share"))
     peers = p.groupBy("provider_type", "category").agg(
         F.avg("category_share").alias("peer_mean_share"), F.stddev_pop("category_share").alias("_sd"))
     return p.join(peers, ["provider_type", "category"]).select(

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from medledger.operators.duplicates import spread_copies, surplus_claims
-from medledger.operators.ranking import add_ranks, ranked_running_sum
+from medledger.operators.ranking import add_ranks, bucket_of, ranked_running_sum
 from medledger.plans import clinical, consumers, financial, measures, network, operations, risk, views
 from tests.test_cleaning import headers, ids, members, star  # noqa: F401  (fixtures)
 
@@ -94,13 +94,13 @@ def test_no_frequent_member_without_spread(star):
 
 
 # -- ranking -----------------------------------------------------------------------
-@pytest.mark.parametrize("ranges", [1, 7, 64, None])
-def test_running_sum_matches_sorting(spark, ranges):
+@pytest.mark.parametrize("spread", [40, 40_000, 10**12])
+def test_running_sum_matches_sorting(spark, spread):
     """A third of the rows share one value; the order of ties is by digest."""
     rng = random.Random(5)
-    rows = [(f"P{i:04d}", Decimal(0) if i % 3 == 0 else Decimal(rng.randrange(1, 40)) / 4) for i in range(700)]
+    rows = [(f"P{i:04d}", Decimal(0) if i % 3 == 0 else Decimal(rng.randrange(-spread // 4, spread)) / 4) for i in range(700)]
     df = spark.createDataFrame(rows, "id string, v decimal(18,2)")
-    got = {r.id: (r.rk, r.run) for r in ranked_running_sum(df, "v", "id", "rk", "run", ranges).collect()}
+    got = {r.id: (r.rk, r.run) for r in ranked_running_sum(df, "v", "id", "rk", "run").collect()}
     order = sorted(rows, key=lambda r: (-r[1], hashlib.md5(r[0].encode()).hexdigest()))
     run, want = Decimal(0), {}
     for n, (i, v) in enumerate(order, start=1):
@@ -109,11 +109,34 @@ def test_running_sum_matches_sorting(spark, ranges):
     assert got == want
 
 
-@pytest.mark.parametrize("ranges", [1, 6, None])
-def test_ranks_match_counting(spark, ranges):
+def test_buckets_keep_the_order(spark):
+    rng = random.Random(6)
+    values = sorted([0.0, -1e-300, 1e-300, 5e-324, -5e-324, 1.0, 1e308, *(rng.choice([-1, 1]) * 10 ** rng.uniform(-9, 15) for _ in range(3000))])
+    near = [12345.67 + k / 100 for k in range(500)]
+    for some in (values, near):
+        rows = spark.createDataFrame([(v,) for v in [*some, None]], "v double").select("v", bucket_of("v").alias("b")).collect()
+        got = sorted((r.v, r.b) for r in rows if r.v is not None)
+        assert [b for _, b in got] == sorted(b for _, b in got) and [r.b for r in rows if r.v is None] == [None]
+    assert 1 < len({b for _, b in got}) < 10
+
+
+def test_ranks_run_nothing_before_the_query(spark, claims):
+    marts, tracker = claims.marts, spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "views are built, not run")
+    try:
+        for name in ("v_provider_concentration", "v_denial_reasons", "v_provider_anomaly", "v_high_frequency_members"):
+            views.STAR_VIEWS[name](marts)
+            assert len(tracker.getJobIdsForGroup("building")) == 0, name
+        risk.upcoding_proxy(marts)
+        assert len(tracker.getJobIdsForGroup("building")) == 0
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_ranks_match_counting(spark):
     rows = [(f"k{i}", i % 17, (i * 7) % 5) for i in range(200)]
     df = spark.createDataFrame(rows, "k string, a bigint, b bigint")
-    got = {r.k: (r.ra, r.rb) for r in add_ranks(df, {"a": "ra", "b": "rb"}, ranges=ranges).collect()}
+    got = {r.k: (r.ra, r.rb) for r in add_ranks(df, {"a": "ra", "b": "rb"}).collect()}
     assert got == {k: (1 + sum(x[1] > a for x in rows), 1 + sum(x[2] > b for x in rows)) for k, a, b in rows}
 
 
