@@ -44,7 +44,7 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 def ingest(lake: Lake, landing: str, on_malformed: str) -> None:
     made = versions.draft(lake)
     ingest_all(made, landing, on_malformed).show(truncate=False)
-    versions.publish(lake, {"raw": (made, RAW_TABLES)}, versions.LANDED)
+    versions.publish(lake, {"raw": dict.fromkeys(RAW_TABLES, made)}, versions.LANDED)
 
 
 def quality(lake: Lake, stop: bool) -> None:
@@ -59,8 +59,8 @@ def marts(lake: Lake) -> None:
     """Build the star from the tables that landed last, aside; publish it once it is checked."""
     landed, made = versions.open_version(lake, kind=versions.LANDED), versions.draft(lake)
     built = build_marts(made, landed.tables("raw"))
-    check_marts(landed.layer("raw"), built)
-    publish_marts(lake, landed.layer("raw"), made)
+    check_marts(landed, built)
+    publish_marts(lake, landed.places("raw"), made)
 
 
 def checked_views(lake: Lake, number: int | None) -> int:

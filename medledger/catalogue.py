@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fixtures.claims import dirtied, injected_defects
+from fixtures.planted import planted_marts
 from medledger.functions import register_sql_functions
 from medledger.operators import cleaning
 from medledger.operators.joins import as_of_join, restrict
@@ -14,13 +16,23 @@ from medledger.operators.star import dim_claim_status, dim_claim_type
 from medledger.plans import consumers, financial, measures, risk
 from medledger.plans.demo import ClaimsLake, claims_lake
 from medledger.plans.enriched import enriched
-from medledger.plans.pipeline import layer_counts
-from medledger.plans.views import STAR_VIEWS, smoke_check
+from medledger.plans.pipeline import Settings, layer_counts, publish_marts, run_pipeline
+from medledger.plans.views import STAR_VIEWS, attach, published_view, smoke_check
 from medledger.quality import assertions, engine
-from medledger.sources.derive import dirtied, injected_defects
+from medledger.sources import versions
 from medledger.sources.lake import MONTH, Lake
-from medledger.sources.landing import ingest_all, ingest_audit, read_text_csv, reconcile, write_text_csv
-from medledger.sources.schemas import RAW_TABLES
+from medledger.sources.landing import (
+    count_rows,
+    ingest_all,
+    ingest_audit,
+    ingest_table,
+    read_text_csv,
+    reconcile,
+    refused_rows,
+    union_all,
+    write_text_csv,
+)
+from medledger.sources.schemas import RAW_COLUMNS, RAW_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +66,70 @@ def _(c: ClaimsLake) -> DataFrame:
     return reconcile(c.source.tables(), landed.tables("raw", RAW_TABLES))
 
 
+@query("csv_line_breaks")
+def _(c: ClaimsLake) -> DataFrame:
+    """Members whose names hold line breaks, quotes and commas, through landing files that are split among tasks."""
+    folder = c.lake.path("landing", "breaks")
+    name = F.concat("name", F.lit('\n"of", '), "city", F.lit("\r\n"), "member_id", F.lit("\n"))
+    write_text_csv(c.raw["members"].withColumn("name", name), f"{folder}/members.csv")
+    landed = Lake(c.spark, c.lake.path("landing", "breaks-lake"))
+    ingest_table(landed, folder, "members")
+    return landed.read("raw", "members")
+
+
+@query("csv_damaged_landing")
+def _(c: ClaimsLake) -> DataFrame:
+    """Claim headers of which some lines have a field too few or too many: what was loaded, refused and why, with the
+    length of the refused text."""
+    folder, columns = c.lake.path("landing", "damaged"), RAW_COLUMNS["claims_header"]
+    line, k = F.concat_ws(",", *columns), F.substring("claim_id", -2, 2)
+    damaged = (F.when(k == "07", F.regexp_replace(line, ",[^,]*$", "")).when(k == "33", F.concat(line, F.lit(",more")))
+               .when(k == "64", F.lit("one field")).otherwise(line))
+    one_column = c.raw["claims_header"].select(damaged.alias(",".join(columns)))
+    (one_column.write.mode("overwrite").option("header", True).option("sep", "\u0001").option("escapeQuotes", False)
+               .csv(f"{folder}/claims_header.csv"))
+    landed = Lake(c.spark, c.lake.path("landing", "damaged-lake"))
+    ingest_table(landed, folder, "claims_header", on_malformed="keep")
+    loaded = landed.read("raw", "claims_header").select(F.lit("loaded").alias("kind"), F.lit("").alias("reason"), F.lit("").alias("record"))
+    refused = refused_rows(landed, "claims_header").select(F.lit("refused").alias("kind"), "reason", "record")
+    return loaded.union(refused).groupBy("kind", "reason").agg(F.count("*").alias("rows"), F.sum(F.length("record")).alias("letters"))
+
+
+@query("published_versions")
+def _(c: ClaimsLake) -> DataFrame:
+    """Views over two published versions, of which the second shares all tables but the claims of 2025 alone; the names
+    attached to the first keep its data after the second is published."""
+    raw, claims = dict.fromkeys(RAW_TABLES, c.lake), c.marts["fct_claim_header"]
+    first = publish_marts(c.lake, raw, c.lake)
+    attach(c.lake)
+    made = versions.draft(c.lake)
+    made.replace_by_month("marts", "fct_claim_header", claims.filter("submission_date_key BETWEEN 20250101 AND 20251231").drop(MONTH),
+                          "submission_date_key")
+    second = versions.publish(c.lake, {"raw": raw, "marts": {**first.places("marts"), "fct_claim_header": made}})
+    names = ["v_claims_enriched", "v_financial_monthly", "v_provider_scorecard"]
+    frames = [count_rows(c.spark.table(n), n).withColumn("version", F.lit("attached")) for n in names]
+    for label, v in (("all", first), ("2025", second)):
+        frames += [count_rows(published_view(c.lake, n, v.number), n).withColumn("version", F.lit(label)) for n in names]
+    return union_all(frames).select("version", F.col("table_name").alias("view_name"), "row_count")
+
+
+@query("batch_job")
+def _(c: ClaimsLake) -> DataFrame:
+    """The whole job from landing files to exports, on a lake of its own: rows of every table, view and export."""
+    folder = c.lake.path("landing", "job")
+    for t, df in c.raw.items():
+        write_text_csv(df, f"{folder}/{t}.csv")
+    lake = Lake(c.spark, c.lake.path("landing", "job-lake"))
+    run_pipeline(lake, Settings(folder, fail_on_critical=False))
+    version = versions.open_version(lake)
+    found = [count_rows(df, n).withColumn("part", F.lit(layer)) for layer in ("raw", "marts") for n, df in version.tables(layer).items()]
+    views = smoke_check(version.tables("marts"), version.read("raw", "claims_header"))
+    found.append(views.select(F.col("view_name").alias("table_name"), "row_count", F.lit("view").alias("part")))
+    for n in ("kpi_summary", "kpi_monthly_trend", "claims_detail", "provider_report", "dq_latest"):
+        found.append(count_rows(lake.read("exports", n), n).withColumn("part", F.lit("export")))
+    return union_all(found).select("part", F.col("table_name").alias("name"), "row_count")
+
+
 @query("unread_numbers")
 def _(c: ClaimsLake) -> DataFrame:
     """The load check over all tables, with amounts spoilt in five ways: counted by column."""
@@ -308,6 +384,7 @@ query("dq_page_totals")(lambda c: engine.page_totals(c.quality.results))
 query("dq_failures_by_dimension")(lambda c: engine.failures_by_dimension(c.quality.results))
 query("dq_defect_reconciliation")(lambda c: engine.reconcile_defects(c.quality.results, injected_defects(c.source)))
 query("warehouse_assertions")(lambda c: assertions.evaluate(c.models()))
+query("planted_assertions")(lambda c: assertions.evaluate(planted_marts(c.models())))
 
 # -- consumers -------------------------------------------------------------------
 query("filtered_executive_monthly")(lambda c: consumers.executive_monthly(c.marts, consumers.Filters(

@@ -52,11 +52,11 @@ def build_marts(lake: Lake, raw: dict[str, DataFrame] | None = None) -> dict[str
     return {**dims, **facts}
 
 
-def staged_models(lake: Lake) -> dict[str, DataFrame]:
-    return {f"stg_{t}": df for t, df in stage_all(lake.tables("raw", RAW_TABLES)).items()}
+def staged_models(stored: Lake | versions.Version) -> dict[str, DataFrame]:
+    return {f"stg_{t}": df for t, df in stage_all(stored.tables("raw", RAW_TABLES)).items()}
 
 
-def check_marts(lake: Lake, marts: dict[str, DataFrame]) -> None:
+def check_marts(lake: Lake | versions.Version, marts: dict[str, DataFrame]) -> None:
     bad = assertions.evaluate({**staged_models(lake), **marts}).filter("failures > 0").select("assertion", "failures").collect()
     if bad:  # at most 89 rows
         raise AssertionsFailed(", ".join(f"{r.assertion}={r.failures}" for r in bad))
@@ -74,10 +74,10 @@ def export_reports(lake: Lake, marts: dict[str, DataFrame], run: engine.QualityR
     out("dq_report", engine.report(run.results), "json")
 
 
-def publish_marts(lake: Lake, raw: Lake, marts: Lake, run_id: int | None = None) -> versions.Version:
-    """Make stored raw and mart tables the newest version of ``lake``."""
-    layers = {"raw": (raw, RAW_TABLES), "marts": (marts, star_ops.MARTS)}
-    return versions.publish(lake, layers, quality_run=run_id)
+def publish_marts(lake: Lake, raw: dict[str, Lake], marts: Lake, run_id: int | None = None) -> versions.Version:
+    """Make stored raw tables (by where each lies) and mart tables the newest version of ``lake``."""
+    tables = {"raw": raw, "marts": dict.fromkeys(star_ops.MARTS, marts)}
+    return versions.publish(lake, tables, quality_run=run_id)
 
 
 def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
@@ -98,7 +98,7 @@ def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     marts = build_marts(made, raw)
     if settings.run_assertions:
         check_marts(made, marts)
-    publish_marts(lake, made, made, run.run_id)
+    publish_marts(lake, dict.fromkeys(RAW_TABLES, made), made, run.run_id)
     register_views(marts, raw["claims_header"])
     if settings.export:
         export_reports(lake, marts, run)

@@ -1,7 +1,7 @@
 """Warehouse assertions: 80 generic column checks and 9 business checks, each a failure count.
 
 Row checks of one table (not null, accepted values, business conditions) share one aggregation;
-uniqueness and references take one grouped aggregation or anti-join each.
+uniqueness and references of all tables share one more.
 """
 
 from __future__ import annotations
@@ -12,7 +12,6 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from medledger.operators.duplicates import repeated_keys
 from medledger.sources.landing import union_all
 from medledger.sources.schemas import (
     ADJUDICATION_MODES,
@@ -129,23 +128,59 @@ def row_assertions(models: Models) -> list[DataFrame]:
     return out
 
 
-def key_assertions(models: Models) -> list[DataFrame]:
-    out = []
+def _key_readings() -> dict[str, list[tuple[str, str, int]]]:
+    """By model, the columns to read as (column, key space, role). A key space is the parent's key column, or a unique
+    column's own; role 0 holds the keys themselves, role 1, 2 … rows that refer to them."""
+    spaces: dict[tuple[str, str], int] = {}
+    read: dict[str, list[tuple[str, str, int]]] = {}
     for model, ch in GENERIC.items():
         for c in ch.unique:
-            dup = repeated_keys(models[model].filter(F.col(c).isNotNull()), c)
-            out.append(_counted(dup, f"unique_{model}_{c}", model, "unique", c))
-        for c, (parent, pk) in ch.references.items():
-            known = models[parent].select(F.col(pk).alias("_k"))
-            lost = models[model].filter(F.col(c).isNotNull()).join(known, F.col(c) == F.col("_k"), "left_anti")
-            out.append(_counted(lost, f"relationships_{model}_{c}", model, "relationships", c))
-    return out
+            spaces[model, c] = 0
+    for model, ch in GENERIC.items():
+        for c, parent in ch.references.items():
+            spaces[parent] = spaces.get(parent, 0) + 1
+            read.setdefault(model, []).append((c, ".".join(parent), spaces[parent]))
+    for model, c in spaces:
+        read.setdefault(model, []).append((c, f"{model}.{c}", 0))
+    return read
+
+
+def key_assertions(models: Models) -> list[DataFrame]:
+    """Uniqueness and references of all models from one aggregation.
+
+    Each row gives its keys, tagged with the key space and the role they have there, from one scan of its model. Folded
+    by (space, key), with counts added up before the shuffle, a key says at once how often it occurs as a key and how
+    many rows of each child refer to it: over one is a repeated key, none with children is a lost reference.
+    """
+    read = _key_readings()
+    roles = 1 + max(role for columns in read.values() for _, _, role in columns)
+    tagged = union_all([
+        models[model].select(F.explode(F.array(*(
+            F.struct(F.lit(space).alias("space"), F.col(c).cast("string").alias("key"), F.lit(role).alias("role"))
+            for c, space, role in columns))).alias("x")).select("x.*")
+        for model, columns in read.items()])
+    per_key = tagged.filter("key IS NOT NULL").groupBy("space", "key").agg(
+        *(F.count_if(F.col("role") == r).alias(f"n{r}") for r in range(roles)))
+    found = per_key.groupBy("space").agg(
+        F.count_if(F.col("n0") > 1).alias("r0"),
+        *(F.sum(F.when(F.col("n0") == 0, F.col(f"n{r}")).otherwise(0)).alias(f"r{r}") for r in range(1, roles)))
+    checks = []
+    for model, columns in read.items():
+        for c, space, role in columns:
+            kind = "relationships" if role else "unique"
+            if role or c in GENERIC[model].unique:
+                checks.append((f"{kind}_{model}_{c}", model, kind, c, space, role))
+    spark = per_key.sparkSession
+    named = spark.createDataFrame(checks, "assertion string, model string, kind string, column_name string, space string, role int")
+    failures = F.element_at(F.array(*(F.col(f"r{r}") for r in range(roles))), F.col("role") + 1)
+    return [named.join(found, "space", "left").select(
+        "assertion", "model", "kind", "column_name", F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures"))]
 
 
 def business_set_assertions(models: Models) -> list[DataFrame]:
     h, line = models["fct_claim_header"], models["fct_claim_line"]
     same = h.groupBy("member_sk", "provider_sk", "admission_date_key", "billed_amount_pkr").count().filter("count > 1")
-    lost = line.join(h.select("claim_id"), "claim_id", "left_anti")
+    lost = line.join(h.select("claim_id"), "claim_id", "left_anti")  # of all lines, also those without a claim id
     fact_rows = h.agg(F.count(F.lit(1)).alias("fact_rows"))
     more = fact_rows.withColumn("staged", models["stg_claims_header"].agg(F.count(F.lit(1)).alias("n")).scalar())
     return [

@@ -1,8 +1,8 @@
 """Published versions of the layers: built aside, made visible by one commit, readable for as long as they are kept.
 
-A draft is a lake folder of its own under ``versions``. A commit says in which folder each layer of a version lies.
+A draft is a lake folder of its own under ``versions``. A commit says in which folder each table of a version lies.
 Readers resolve the commit once and then read those folders alone, so a build that stops half way, or one that runs at
-the same time, changes nothing for them. Publishing copies no data, and versions may share a layer.
+the same time, changes nothing for them. Publishing copies no data, and versions may share tables.
 """
 
 from __future__ import annotations
@@ -30,14 +30,18 @@ class Version:
     root: Lake
     about: dict
 
-    def layer(self, layer: str) -> Lake:
-        return Lake(self.root.spark, f"{self.root.root}/{self.about['layers'][layer]['folder']}")
-
     def read(self, layer: str, name: str) -> DataFrame:
-        return self.layer(layer).read(layer, name)
+        return Lake(self.root.spark, f"{self.root.root}/{self.about['tables'][layer][name]}").read(layer, name)
+
+    def tables(self, layer: str, names: Iterable[str] | None = None) -> dict[str, DataFrame]:
+        return {n: self.read(layer, n) for n in (self.about["tables"][layer] if names is None else names)}
+
+    def places(self, layer: str) -> dict[str, Lake]:
+        """Where each table of the layer lies, for a version that shares it."""
+        return {n: Lake(self.root.spark, f"{self.root.root}/{f}") for n, f in self.about["tables"][layer].items()}
 
-    def tables(self, layer: str) -> dict[str, DataFrame]:
-        return self.layer(layer).tables(layer, self.about["layers"][layer]["tables"])
+    def folders(self) -> set[str]:
+        return {f for names in self.about["tables"].values() for f in names.values()}
 
 
 def _commits(lake: Lake, kind: str) -> str:
@@ -49,18 +53,21 @@ def draft(lake: Lake) -> Lake:
     return Lake(lake.spark, lake.path("versions", uuid.uuid4().hex))
 
 
-def publish(lake: Lake, layers: dict[str, tuple[Lake, Iterable[str]]], kind: str = PUBLISHED, **about) -> Version:
-    """Make the tables of ``layers`` (layer -> where, names) the newest version. Each must be stored there whole.
+def publish(lake: Lake, tables: dict[str, dict[str, Lake]], kind: str = PUBLISHED, **about) -> Version:
+    """Make ``tables`` (layer -> name -> the lake folder it is stored in) the newest version.
 
-    Versions published at the same time get numbers of their own; the higher one is the newest.
+    Each table must be stored whole, at or under ``lake``. Versions published at the same time get numbers of their own;
+    the higher one is the newest.
     """
-    found = {}
-    for layer, (made, names) in layers.items():
-        for name in names:
+    found: dict[str, dict[str, str]] = {}
+    for layer, names in tables.items():
+        for name, made in names.items():
+            if made.root != lake.root and not made.root.startswith(f"{lake.root}/"):
+                raise ValueError(f"{layer}/{name} is not stored under {lake.root}")
             if not commits.exists(lake.spark, f"{made.path(layer, name)}/_SUCCESS"):
                 raise ValueError(f"{layer}/{name} is not stored whole: there is no end mark of its write")
-        found[layer] = {"folder": made.root.removeprefix(f"{lake.root}/"), "tables": list(names)}
-    content = {"layers": found, **about}
+            found.setdefault(layer, {})[name] = made.root[len(lake.root) + 1:] or "."
+    content = {"tables": found, **about}
     return Version(commits.claim_next(lake.spark, _commits(lake, kind), content), lake, content)
 
 
@@ -89,11 +96,11 @@ def expire(lake: Lake, keep: int) -> list[int]:
     gone = [(LANDED, n) for n in numbers(lake, LANDED)[:-1]] + [(PUBLISHED, n) for n in numbers(lake)[:-keep]]
     folders = set()
     for kind, n in gone:
-        folders |= {x["folder"] for x in open_version(lake, n, kind).about["layers"].values()}
+        folders |= open_version(lake, n, kind).folders()
         commits.remove(lake.spark, _commits(lake, kind), n)
     for kind in (LANDED, PUBLISHED):
         for n in numbers(lake, kind):
-            folders -= {x["folder"] for x in open_version(lake, n, kind).about["layers"].values()}
-    for folder in sorted(folders):
+            folders -= open_version(lake, n, kind).folders()
+    for folder in sorted(folders - {"."}):
         commits.delete_folder(lake.spark, f"{lake.root}/{folder}")
     return [n for kind, n in gone if kind == PUBLISHED]

@@ -3,6 +3,8 @@ exact decimal sum, arrays are joined text."""
 
 from __future__ import annotations
 
+import re
+
 from oracle.tables import pdate, with_tables, ymd
 
 OPEN = "status IN ('Pending', 'In Review')"
@@ -227,6 +229,10 @@ STAGED_OF = {
     "stg_members": "st_members", "stg_diagnoses": "raw_diagnoses", "stg_procedures": "st_procedures",
     "stg_claims_header": "st_headers", "stg_claims_lines": "st_lines",
 }
+# Columns of the raw claim headers.
+HEADER_COLUMNS = """claim_id member_id provider_id policy_id claim_type admission_date discharge_date submission_date
+    adjudication_date payment_date status denial_reason_code billed_amount_pkr approved_amount_pkr paid_amount_pkr
+    member_share_pkr adjudication_mode""".split()
 MODEL_SQL = {
     **STAGED_OF, **MART_OF,
     "dim_claim_status": "(SELECT s AS status, md5(s) AS claim_status_sk FROM (VALUES ('Paid'), ('Partially Paid'), ('Denied'), "
@@ -317,6 +323,42 @@ def assertions() -> str:
     return " UNION ALL ".join(out)
 
 
+def planted_assertions() -> str:
+    """The assertions over marts of which rows are spoilt by the last two letters of their keys, or doubled."""
+    def overlay(name: str, source: str, key: str, changes: dict[str, dict[str, str]], twice: str) -> str:
+        each = []
+        for c, at in changes.items():
+            cases = " ".join(f"WHEN '{end}' THEN {v}" for end, v in at.items())
+            each.append(f"CASE right({key}::VARCHAR, 2) {cases} ELSE {c} END AS {c}")
+        spoilt = f"SELECT * REPLACE ({', '.join(each)}) FROM {source} o"
+        again = f" UNION ALL {spoilt} WHERE right(o.{key}::VARCHAR, 2) = '{twice}'" if twice else ""
+        return f"{name} AS ({spoilt}{again})"
+
+    spoilt = {
+        "f_header": ("b_header", "claim_id", {
+            "member_sk": {"02": "'nobody'"}, "provider_sk": {"03": "NULL"}, "status": {"04": "'Lost'"},
+            "approved_amount_pkr": {"05": "billed_amount_pkr + 1"}, "paid_amount_pkr": {"06": "approved_amount_pkr + 1"},
+            "length_of_stay": {"07": "-1"}, "member_share_pkr": {"32": "-1"}, "adjudication_mode": {"33": "NULL"},
+            "claim_type": {"34": "'Spa'"}, "policy_sk": {"35": "'none'"}}, "36"),
+        "f_line": ("b_line", "claim_line_id", {
+            "claim_id": {"01": "'none'", "02": "NULL"}, "procedure_sk": {"03": "'none'"}}, "04"),
+        "f_month": ("b_month", "member_id", {"claim_count": {"07": "0"}, "member_sk": {"08": "'nobody'"}}, "10"),
+        "d_member": ("b_member", "member_id", {
+            "age_years": {"11": "200"}, "gender": {"13": "'X'"}, "relationship": {"14": "'Cousin'"}, "policy_id": {"16": "'none'"},
+            "is_current": {"17": "NULL"}}, "19"),
+        "d_provider": ("b_provider", "provider_id", {"network_status": {"03": "'Maybe'"}}, ""),
+        "d_policy": ("b_policy", "policy_id", {"plan_tier": {"02": "'Tin'"}}, "03"),
+        "cal": ("b_cal", "date_key", {"fiscal_year": {"02": "NULL"}}, "05"),
+    }
+    body, head = assertions(), []
+    for source, (name, key, changes, twice) in spoilt.items():
+        body = re.sub(rf"\b{source}\b", name, body)
+        head.append(overlay(name, source, key, changes, twice))
+    head.append("b_staged AS (SELECT * FROM st_headers WHERE right(claim_id, 1) = '1')")
+    body = re.sub(r"\bst_headers\b", "b_staged", body)
+    return f"WITH {', '.join(head)} {body}"
+
+
 # -- measures ------------------------------------------------------------------------------------
 def by_month(select: str) -> str:
     return f"SELECT year_month, {select} FROM claims_x GROUP BY year_month"
@@ -371,6 +413,34 @@ def bodies() -> dict[str, str]:
     q: dict[str, str] = {}
     # sources
     q["csv_landing_members"] = "SELECT * FROM raw_members"
+    q["csv_line_breaks"] = """
+        SELECT * REPLACE (name || chr(10) || '"of", ' || city || chr(13) || chr(10) || member_id || chr(10) AS name) FROM raw_members"""
+    q["csv_damaged_landing"] = f"""
+        WITH lines AS (SELECT right(claim_id, 2) AS k, concat_ws(',', {', '.join(HEADER_COLUMNS)}) AS line FROM raw_headers)
+        SELECT 'loaded' AS kind, '' AS reason, count(*) AS rows, 0 AS letters FROM lines WHERE k NOT IN ('07', '33', '64')
+        UNION ALL
+        SELECT 'refused', 'number of fields', count(*), sum(CASE k
+            WHEN '07' THEN length(line) - position(',' IN reverse(line)) WHEN '33' THEN length(line) + 5 ELSE 9 END)::BIGINT
+        FROM lines WHERE k IN ('07', '33', '64')"""
+    q["published_versions"] = """
+        WITH part AS (SELECT * FROM claims_x WHERE submission_date_key BETWEEN 20250101 AND 20251231)
+        SELECT version, view_name, row_count FROM (
+            SELECT 'v_claims_enriched' AS view_name, count(*) AS row_count, false AS cut FROM claims_x
+            UNION ALL SELECT 'v_financial_monthly', count(DISTINCT year_month), false FROM claims_x
+            UNION ALL SELECT 'v_provider_scorecard', count(DISTINCT provider_id), false FROM claims_x
+            UNION ALL SELECT 'v_claims_enriched', count(*), true FROM part
+            UNION ALL SELECT 'v_financial_monthly', count(DISTINCT year_month), true FROM part
+            UNION ALL SELECT 'v_provider_scorecard', count(DISTINCT provider_id), true FROM part),
+        (VALUES ('attached', false), ('all', false), ('2025', true)) v(version, of_2025) WHERE cut = of_2025"""
+    one = "SELECT '{}' AS part, '{}' AS name, {} AS row_count".format
+    q["batch_job"] = " UNION ALL ".join(
+        [one("raw", t, f"(SELECT count(*) FROM {x})") for t, x in RAW_OF.items()]
+        + [one("marts", t, f"(SELECT count(*) FROM {x} t)") for t, x in MODEL_SQL.items() if not t.startswith("stg_")]
+        + [one("view", v, f"(SELECT count(*) FROM (@{v}))") for v in VIEWS]
+        + [one("export", "kpi_summary", "1"), one("export", "kpi_monthly_trend", "(SELECT count(DISTINCT year_month) FROM claims_x)"),
+           one("export", "claims_detail", "(SELECT count(*) FROM claims_x)"),
+           one("export", "provider_report", "(SELECT least(60, count(DISTINCT provider_id)) FROM claims_x)"),
+           one("export", "dq_latest", "39")])
     # the third decimal, the thousands mark, the word and the number beyond the type are lost; an empty text is not
     q["unread_numbers"] = """
         SELECT 'claims_header' AS table_name, 'billed_amount_pkr' AS column_name, count(*) AS lost FROM raw_headers
@@ -552,8 +622,10 @@ def bodies() -> dict[str, str]:
               FROM (SELECT provider_id, provider_type, category, sum(line_billed_pkr) AS b
                     FROM f_line JOIN raw_procedures USING (procedure_code) JOIN d_provider USING (provider_sk) GROUP BY ALL))
         WINDOW w AS (PARTITION BY provider_type, category)"""
+    must = ("v_claims_enriched", "v_financial_monthly", "v_provider_scorecard")
     q["view_smoke_check"] = " UNION ALL ".join(
-        f"SELECT '{v}' AS view_name, count(*) AS row_count, true AS ok FROM ({'@' + v})" for v in VIEWS)
+        f"SELECT '{v}' AS view_name, count(*) AS row_count, {'count(*) > 0' if v in must else 'true'} AS ok FROM ({'@' + v})"
+        for v in VIEWS)
     # measures
     q["measures_core_by_month"] = by_month(f"""
         {total('billed_amount_pkr')} AS "Total Billed", {total('approved_amount_pkr')} AS "Total Approved",
@@ -640,11 +712,13 @@ def bodies() -> dict[str, str]:
     # data quality
     q["dq_results"] = dq(f"SELECT 1 AS run_id, {RESULT_ROW} FROM res")
     q["dq_failed_records"] = f"SELECT 1 AS run_id, * FROM ({failing_keys()})"
-    q["dq_latest_run"] = dq(f"SELECT 2 AS run_id, {RESULT_ROW} FROM res WHERE table_name = 'claims_header'")
-    q["dq_trend"] = dq("""
+    second = f"""(SELECT res.* REPLACE (d.rows_failed AS rows_failed, d.rows_failed / rows_checked AS rate)
+        FROM res JOIN ({dirty_rules()}) d USING (rule_id))"""
+    q["dq_latest_run"] = dq(f"SELECT 2 AS run_id, {RESULT_ROW} FROM {second}")
+    q["dq_trend"] = dq(f"""
         SELECT 1 AS run_id, round(sum(rate) / count(*), 6) AS avg_fail_rate, sum(rows_failed)::BIGINT AS total_failed FROM res
         UNION ALL
-        SELECT 2, round(sum(rate) / count(*), 6), sum(rows_failed)::BIGINT FROM res WHERE table_name = 'claims_header'""")
+        SELECT 2, round(sum(rate) / count(*), 6), sum(rows_failed)::BIGINT FROM {second}""")
     q["dq_scores"] = dq(f"""
         SELECT 'overall' AS scope, 'all' AS name, round({SCORE}, 6) AS score FROM res
         UNION ALL SELECT 'dimension', dimension, round({SCORE}, 6) FROM res GROUP BY dimension
@@ -680,6 +754,7 @@ def bodies() -> dict[str, str]:
         f"SELECT '{d}' AS defect, '{r}' AS rule_id, {n} AS injected, rows_failed AS caught, {n} = rows_failed AS matches "
         f"FROM res WHERE rule_id = '{r}'" for d, r, n in defects))
     q["warehouse_assertions"] = assertions()
+    q["planted_assertions"] = planted_assertions()
     # consumers
     q["filtered_executive_monthly"] = f"""
         SELECT year_month, {total('billed_amount_pkr')} AS billed, {total('paid_amount_pkr')} AS paid, count(claim_id) AS claims,
@@ -754,6 +829,7 @@ VIEWS = [
 
 def all_sql() -> dict[str, str]:
     q = bodies()
-    for v in VIEWS:  # the smoke check counts the views' own SQL
-        q["view_smoke_check"] = q["view_smoke_check"].replace(f"(@{v})", f"({q[v]})")
+    for v in VIEWS:  # the smoke check and the batch job count the views' own SQL
+        for n in ("view_smoke_check", "batch_job"):
+            q[n] = q[n].replace(f"(@{v})", f"({q[v]})")
     return {name: with_tables(body) for name, body in q.items()}

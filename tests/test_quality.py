@@ -7,7 +7,7 @@ from medledger.plans.pipeline import AssertionsFailed, Settings, check_marts, ru
 from medledger.quality import assertions, engine
 from medledger.quality.rules import RULES, Dimension, FirstOnly, Rule, RowCheck, Severity, UniqueKey, missing, rules_by_dimension
 from medledger.sources import versions
-from medledger.sources.derive import injected_defects
+from fixtures.claims import injected_defects
 from medledger.sources.schemas import RAW_COLUMNS, RAW_TABLES
 from tests.test_cleaning import HEADER, MEMBER
 from tests.test_sources import write_landing

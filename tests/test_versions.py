@@ -26,6 +26,10 @@ def copied(claims, lake, share=1.0):
     return made
 
 
+def published(lake, made):
+    return pipeline.publish_marts(lake, dict.fromkeys(RAW_TABLES, made), made)
+
+
 def test_one_writer_gets_a_number(spark, tmp_path):
     folder = str(tmp_path / "commits")
     assert commits.numbers(spark, folder) == []
@@ -64,12 +68,12 @@ def test_run_ids_go_on_where_a_lake_without_markers_ended(spark, lake):
 def test_readers_keep_their_version(spark, claims, lake):
     with pytest.raises(versions.NoVersion):
         versions.open_version(lake)
-    first = pipeline.publish_marts(lake, *[copied(claims, lake)] * 2)
+    first = published(lake, copied(claims, lake))
     opened = views.attach(lake)
     n = claims.marts["fct_claim_header"].count()
     assert (first.number, opened.number) == (1, 1) and spark.table("v_claims_enriched").count() == n
     half = copied(claims, lake, 0.5)
-    pipeline.publish_marts(lake, half, half)
+    published(lake, half)
     m = half.read("marts", "fct_claim_header").count()
     assert 0 < m < n and spark.table("v_claims_enriched").count() == n  # until attached anew
     assert views.attach(lake).number == 2 and spark.table("v_claims_enriched").count() == m
@@ -78,12 +82,29 @@ def test_readers_keep_their_version(spark, claims, lake):
     assert versions.expire(lake, keep=1) == [1] and versions.numbers(lake) == [2]
     with pytest.raises(versions.NoVersion):
         versions.open_version(lake, 1)
-    assert not commits.exists(spark, first.layer("marts").root) and versions.open_version(lake).read("marts", "dim_date").count()
+    assert not commits.exists(spark, first.places("marts")["dim_date"].root)
+    assert versions.open_version(lake).read("marts", "dim_date").count() > 0
+
+
+def test_versions_may_share_tables(spark, lake):
+    a, b = versions.draft(lake), versions.draft(lake)
+    a.replace("marts", "one", spark.range(3))
+    a.replace("marts", "two", spark.range(4))
+    b.replace("marts", "two", spark.range(5))
+    lake.replace("marts", "three", spark.range(6))
+    versions.publish(lake, {"marts": {"one": a, "two": a, "three": lake}})
+    versions.publish(lake, {"marts": {**versions.open_version(lake).places("marts"), "two": b}}, label="x")
+    assert {n: df.count() for n, df in versions.open_version(lake).tables("marts").items()} == {"one": 3, "two": 5, "three": 6}
+    assert versions.open_version(lake).about["label"] == "x"
+    assert versions.expire(lake, 1) == [1]  # its folder is still in use
+    assert {n: df.count() for n, df in versions.open_version(lake).tables("marts").items()} == {"one": 3, "two": 5, "three": 6}
+    with pytest.raises(ValueError, match="not stored under"):
+        versions.publish(lake, {"marts": {"one": Lake(spark, lake.root + "-elsewhere")}})
 
 
 def test_views_by_name_in_a_new_session(spark, claims, lake):
     made = copied(claims, lake)
-    pipeline.publish_marts(lake, made, made)
+    published(lake, made)
     other = spark.newSession()
     assert not other.catalog.tableExists("v_pmpm")
     views.attach(Lake(other, lake.root))
@@ -111,5 +132,5 @@ def test_a_build_that_stops_half_way_is_not_seen(spark, claims, lake, tmp_path,
     drafts = versions.draft(lake)
     drafts.replace("marts", "dim_date", claims.marts["dim_date"])
     with pytest.raises(ValueError, match="not stored whole"):
-        pipeline.publish_marts(lake, drafts, drafts)
+        published(lake, drafts)
     assert versions.numbers(lake) == [1]
