@@ -54,34 +54,37 @@ class PieceCache:
         if len(self.young) > self.cache:
             self.old, self.young = self.young, {}
         young, once = self.young, {}
-        whole, firsts, cut, new = {}, [], [], set()
+        cut: list[list[str]] = []
+        found: list[list[bytes | None]] = []
+        holes: dict[int, list[int]] = {}  # by text, the places of pieces that are not remembered
+        whole: dict[int, bytes] = {}
         for k, text in enumerate(texts):
             text = text or ""
-            if any(mark in text for mark in self.marks):
+            marked = any(mark in text for mark in self.marks)
+            if marked:
                 whole[k] = self.marked(text)
-                cut.append([])
-                firsts.append("")
-                continue
-            first, *parts = pieces_of(text)
-            firsts.append(first)
+            parts = [""] if marked else pieces_of(text)
+            ids = list(map(young.get, parts))
+            ids[0] = b""  # the first piece has no space before it
+            if None in ids:
+                holes[k] = [i for i, x in enumerate(ids) if x is None]
             cut.append(parts)
-            new.update(set(parts).difference(young))
+            found.append(ids)
         missing = []
-        for piece in new:
+        for piece in {cut[k][i] for k, places in holes.items() for i in places}:
             if piece in self.old:
                 young[piece] = self.old[piece]
             else:
                 missing.append(piece)
         for piece, ids in zip(missing, self.pieces([" " + p for p in missing]), strict=True):
             (young if len(piece) <= self.longest else once)[piece] = ids
-        out = []
-        for k, (parts, head) in enumerate(zip(cut, self.texts(firsts), strict=True)):
-            if once:
-                body = b"".join([young[p] if p in young else once[p] for p in parts])
-            else:
-                body = b"".join(map(young.__getitem__, parts))
-            out.append(np.frombuffer(whole.get(k, head) + body, dtype="<u4"))
-        return out
+        for k, places in holes.items():
+            parts, ids = cut[k], found[k]
+            for i in places:
+                ids[i] = young[parts[i]] if parts[i] in young else once[parts[i]]
+        for k, head in enumerate(self.texts([parts[0] for parts in cut])):
+            found[k][0] = whole.get(k, head)
+        return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in found]
 
 
 class TextEncoder(PieceCache):
@@ -106,17 +109,11 @@ class TextEncoder(PieceCache):
 
     def pieces(self, pieces: list[str], together: int = 500) -> list[bytes]:
         """The library gets many pieces as one text, and the ids are parted again where the pieces' bytes end."""
-        out = []
-        for at in range(0, len(pieces), together):
-            part = pieces[at : at + together]
-            ids = np.frombuffer(self.texts(["".join(part)])[0], dtype="<u4")
-            ends = np.cumsum([len(p.encode()) for p in part])
-            cuts = np.searchsorted(np.cumsum(self.size[ids]), ends) + 1
-            data, at_byte = ids.tobytes(), 0
-            for cut in (cuts * 4).tolist():
-                out.append(data[at_byte:cut])
-                at_byte = cut
-        return out
+        data = b"".join(self.texts(["".join(pieces[at : at + together]) for at in range(0, len(pieces), together)]))
+        ends = np.cumsum([len(p) if p.isascii() else len(p.encode()) for p in pieces], dtype=np.int64)
+        cuts = np.searchsorted(np.cumsum(self.size[np.frombuffer(data, dtype="<u4")]), ends) + 1
+        cuts = (cuts * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
 
     def texts(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
