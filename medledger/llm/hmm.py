@@ -173,16 +173,22 @@ class HiddenMarkov:
 
     def log10_likelihoods(self, sequences: list[np.ndarray]) -> np.ndarray:
         """Exact log10 probability of each sequence: the forward variables are scaled at each step, none is kept."""
-        out = np.zeros(len(sequences))
+        out, ones = np.zeros(len(sequences)), np.ones(len(self.start))
         for rows, seen, active in _stacked(sequences, 1_000_000):
-            forward, total = self.start[None, :] * self.emit[seen[0]], np.zeros(len(rows))
+            total = np.zeros(len(rows))
+            now, then, told = (np.empty((len(rows), len(ones))) for _ in range(3))
             for t in range(len(seen)):
                 n = active[t]
+                np.take(self.emit, seen[t, :n], axis=0, out=told[:n], mode="clip")
                 if t:
-                    forward = (forward[:n] @ self.move) * self.emit[seen[t, :n]]
-                scale = forward.sum(axis=1)
+                    np.matmul(then[:n], self.move, out=now[:n])
+                    now[:n] *= told[:n]
+                else:
+                    np.multiply(self.start, told, out=now)
+                scale = now[:n] @ ones
                 total[:n] += np.log10(scale)
-                forward = forward / scale[:, None]
+                now[:n] /= scale[:, None]
+                now, then = then, now
             out[rows] = total
         return out
 
@@ -190,27 +196,29 @@ class HiddenMarkov:
         """Baum-Welch counts of sequences; first[i]: sequence i begins a text."""
         k = len(self.start)
         heads, moves, emits = np.zeros((2, k)), np.zeros((k, k)), np.zeros_like(self.emit)
+        ones, move_back = np.ones(k), np.ascontiguousarray(self.move.T)
         for rows, seen, active in _stacked(sequences, 500_000):
-            forward = np.zeros((*seen.shape, k))
-            scale = np.ones(seen.shape)
-            now = np.where(first[rows][:, None], self.start, self.middle) * self.emit[seen[0]]
+            forward, told = np.zeros((*seen.shape, k)), np.empty((*seen.shape, k))
+            np.take(self.emit, seen, axis=0, out=told, mode="clip")
             for t in range(len(seen)):
                 n = active[t]
+                now = forward[t, :n]
                 if t:
-                    now = (now[:n] @ self.move) * self.emit[seen[t, :n]]
-                scale[t, :n] = now.sum(axis=1)
-                now = now / scale[t, :n, None]
-                forward[t, :n] = now
+                    np.matmul(forward[t - 1, :n], self.move, out=now)
+                    now *= told[t, :n]
+                else:
+                    np.multiply(np.where(first[rows][:, None], self.start, self.middle), told[0], out=now)
+                scale = (now @ ones)[:, None]
+                now /= scale
+                told[t, :n] /= scale
             back, gathered = np.ones((len(rows), k)), np.zeros((k, k))
             for t in range(len(seen) - 1, -1, -1):
                 n = active[t]
-                if t:
-                    ahead = self.emit[seen[t, :n]] * back[:n] / scale[t, :n, None]
+                told[t, :n] *= back[:n]
                 forward[t, :n] *= back[:n]
                 if t:
-                    before = forward[t - 1, :n]
-                    gathered += before.T @ ahead
-                    back[:n] = ahead @ self.move.T
+                    gathered += forward[t - 1, :n].T @ told[t, :n]
+                    np.matmul(told[t, :n], move_back, out=back[:n])
             moves += gathered * self.move
             heads[0] += forward[0][first[rows]].sum(axis=0)
             heads[1] += forward[0][~first[rows]].sum(axis=0)
@@ -240,7 +248,7 @@ def _stacked(sequences: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarra
 
 def _sequences(column: pa.Array) -> list[np.ndarray]:
     unpack = zstandard.ZstdDecompressor().decompress
-    return [np.frombuffer(unpack(x), dtype="<u2").astype(np.int64) for x in column.to_pylist()]
+    return [np.frombuffer(unpack(x), dtype="<u2") for x in column.to_pylist()]
 
 
 def trained(table: DataFrame, vocabulary: Vocabulary, states: int, rounds: int, segment: int) -> HiddenMarkov:
