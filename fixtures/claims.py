@@ -337,3 +337,24 @@ def dirtied(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
             provider_id={5: "PR-same", 6: "PR-same"}),
         "policies": put(raw["policies"], last("policy_id", 2), plan_tier={7: "Tin"}, copay_pct={8: "1.5"}),
     }
+
+
+SNAPSHOTS = ("2024-07-01", "2025-02-01", "2025-09-01")
+
+
+def member_snapshots(members: DataFrame) -> DataFrame:
+    """The members as three snapshots show them: some move, some change their policy and back, some are missing for one
+    snapshot, some come late or leave."""
+    k = F.expr("try_cast(right(member_id, 4) AS int)")
+    shown = members.select("member_id", "city", "policy_id")
+
+    def at(n: int, seen: Column, city: Column | str = "city", policy: Column | str = "policy_id") -> DataFrame:
+        return shown.filter(seen).select(
+            "member_id", (F.col(city) if isinstance(city, str) else city).alias("city"),
+            (F.col(policy) if isinstance(policy, str) else policy).alias("policy_id"), F.lit(SNAPSHOTS[n]).cast("date").alias("taken"))
+
+    other = F.when(k % 5 == 0, "POL-other").otherwise(F.col("policy_id"))
+    first = at(0, k % 7 != 0)
+    second = at(1, k % 11 != 0, policy=other)
+    third = at(2, k % 13 != 0, city=F.when(k % 3 == 0, "Elsewhere").otherwise(F.col("city")))
+    return first.union(second).union(third)

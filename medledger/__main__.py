@@ -10,7 +10,16 @@ from __future__ import annotations
 import argparse
 import sys
 
-from medledger.plans.pipeline import AssertionsFailed, Settings, build_marts, check_marts, publish_marts, run_pipeline
+from medledger.plans.pipeline import (
+    AssertionsFailed,
+    Settings,
+    build_marts,
+    check_marts,
+    known_members,
+    publish_marts,
+    run_pipeline,
+)
+from medledger.plans.summaries import build_summaries
 from medledger.plans.views import RAW_VIEWS, STAR_VIEWS, published_view, smoke_check
 from medledger.quality import engine
 from medledger.session import build_session
@@ -60,6 +69,7 @@ def marts(lake: Lake) -> None:
     landed, made = versions.open_version(lake, kind=versions.LANDED), versions.draft(lake)
     built = build_marts(made, landed.tables("raw"))
     check_marts(landed, built)
+    build_summaries(made, built, known_members(lake))
     publish_marts(lake, landed.places("raw"), made)
 
 

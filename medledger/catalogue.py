@@ -7,17 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fixtures.claims import dirtied, injected_defects
+from fixtures.claims import dirtied, injected_defects, member_snapshots
 from fixtures.planted import planted_marts
 from medledger.functions import register_sql_functions
 from medledger.operators import cleaning
+from medledger.operators.history import as_of_last, versions_of
 from medledger.operators.joins import as_of_join, restrict
 from medledger.operators.star import dim_claim_status, dim_claim_type
-from medledger.plans import consumers, financial, measures, risk
+from medledger.plans import consumers, financial, measures, risk, summaries
 from medledger.plans.demo import ClaimsLake, claims_lake
 from medledger.plans.enriched import enriched
 from medledger.plans.pipeline import Settings, layer_counts, publish_marts, run_pipeline
-from medledger.plans.views import STAR_VIEWS, attach, published_view, smoke_check
+from medledger.plans.views import STAR_VIEWS, attach, published_view, register_range_function, smoke_check
 from medledger.quality import assertions, engine
 from medledger.sources import versions
 from medledger.sources.lake import MONTH, Lake
@@ -317,6 +318,49 @@ query("time_intelligence")(lambda c: measures.time_intelligence(c.marts))
 query("ibnr_estimate_by_type")(lambda c: measures.ibnr_estimate(c.marts, ["claim_type"]))
 
 
+@query("members_of_ranges")
+def _(c):
+    """Distinct members of each three months by claim type and over all types, from the stored bitmaps alone."""
+    bits = c.summaries["member_bitmaps"]
+    by_type = summaries.rolling_members(bits, 3, by=("claim_type",))
+    return by_type.unionByName(summaries.rolling_members(bits, 3).withColumn("claim_type", F.lit("all")))
+
+
+@query("members_of_a_year")
+def _(c):
+    return summaries.distinct_members(c.summaries["member_bitmaps"], 202501, 202512, by=("claim_type",))
+
+
+@query("turnaround_of_ranges")
+def _(c):
+    """Mean, median and 90th percentile of turnaround days over three ranges of months, from the stored counts alone."""
+    counts, found = c.summaries["turnaround_counts"], []
+    for a, b in ((202407, 202506), (202501, 202503), (202507, None)):
+        one = summaries.turnaround(counts, a, b, by=("adjudication_mode",)).withColumn("month_from", F.lit(a))
+        found += [one, summaries.turnaround(counts, a, b).withColumns({"month_from": F.lit(a), "adjudication_mode": F.lit("all")})]
+    return union_all(found)
+
+
+@query("member_history")
+def _(c):
+    return versions_of(member_snapshots(c.raw["members"]), "member_id", "taken")
+
+
+@query("claims_as_of_history")
+def _(c):
+    """Claims with city and policy of their member as the snapshots show them for the day of submission."""
+    history = versions_of(member_snapshots(c.raw["members"]), "member_id", "taken")
+    claims = _claims_cleaned(c).select("claim_id", "member_id", "submission_date")
+    return as_of_last(claims, history, "member_id", "submission_date", ["city", "policy_id"])
+
+
+@query("claims_table_function")
+def _(c):
+    register_range_function(c.marts)
+    return c.spark.sql("""
+        SELECT claim_id, claim_type, paid_amount_pkr FROM claims_submitted_between(DATE'2025-01-15', DATE'2025-03-10')""")
+
+
 @query("row_level_filter")
 def _(c):
     """A user mapped to all employer groups of one industry sees those groups' claims only."""

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from fixtures.claims import StarSource, dirtied
 from medledger.operators.staging import stage
 from medledger.plans.pipeline import build_marts, staged_models
+from medledger.plans.summaries import build_summaries
 from medledger.quality import engine
 from medledger.session import tune, work_root
 from medledger.sources.lake import Lake
@@ -33,6 +34,10 @@ class ClaimsLake:
     def marts(self) -> dict[str, DataFrame]:
         return build_marts(self.lake, self.raw)
 
+    @cached_property
+    def summaries(self) -> dict[str, DataFrame]:
+        return build_summaries(self.lake, self.marts)
+
     @cached_property
     def quality(self) -> engine.QualityRun:
         return engine.run(self.lake, self.raw)

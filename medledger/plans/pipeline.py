@@ -11,6 +11,7 @@ from medledger.functions import register_sql_functions
 from medledger.operators import star as star_ops
 from medledger.operators.staging import stage_all
 from medledger.plans import consumers
+from medledger.plans.summaries import SUMMARIES, build_summaries
 from medledger.plans.views import register_views
 from medledger.quality import assertions, engine
 from medledger.sources import versions
@@ -75,11 +76,21 @@ def export_reports(lake: Lake, marts: dict[str, DataFrame], run: engine.QualityR
 
 
 def publish_marts(lake: Lake, raw: dict[str, Lake], marts: Lake, run_id: int | None = None) -> versions.Version:
-    """Make stored raw tables (by where each lies) and mart tables the newest version of ``lake``."""
+    """Make stored raw tables (by where each lies), mart tables and, if there are, their summaries the newest version."""
     tables = {"raw": raw, "marts": dict.fromkeys(star_ops.MARTS, marts)}
+    if marts.exists("summaries", "member_numbers"):
+        tables["summaries"] = dict.fromkeys(SUMMARIES, marts)
     return versions.publish(lake, tables, quality_run=run_id)
 
 
+def known_members(lake: Lake) -> DataFrame | None:
+    """The member numbers of the newest version, which the next one goes on with."""
+    if not versions.numbers(lake):
+        return None
+    newest = versions.open_version(lake)
+    return newest.read("summaries", "member_numbers") if "summaries" in newest.about["tables"] else None
+
+
 def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     """Landing files to a published version. Raw and mart tables are written to a folder of their own, and readers see
     them once all is checked: a run that stops, wherever it does, leaves the version before it as the newest.
@@ -98,6 +109,7 @@ def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     marts = build_marts(made, raw)
     if settings.run_assertions:
         check_marts(made, marts)
+    build_summaries(made, marts, known_members(lake))
     publish_marts(lake, dict.fromkeys(RAW_TABLES, made), made, run.run_id)
     register_views(marts, raw["claims_header"])
     if settings.export:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from medledger.plans import clinical, financial, network, operations, risk
 from medledger.plans.enriched import Star, v_claims_enriched
 from medledger.sources import versions
-from medledger.sources.lake import Lake
+from medledger.sources.lake import MONTH, Lake
 from medledger.sources.landing import count_rows, union_all
 
 STAR_VIEWS: dict[str, Callable[[Star], DataFrame]] = {
@@ -56,6 +56,28 @@ def load_view(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+CLAIMS_BETWEEN = "claims_submitted_between"
+
+
+def register_range_function(star: Star, name: str = CLAIMS_BETWEEN) -> None:
+    """A SQL table function of this session: the claims submitted between two dates, both inclusive.
+
+    ``SELECT … FROM claims_submitted_between(DATE'2025-01-01', DATE'2025-03-31')``. The call is put in place of its body,
+    so the two dates become limits on the month folders, which are pruned, and on the date key, which is pushed to the
+    files; columns that are not asked for are not read.
+    """
+    fact = star["fct_claim_header"]
+    fact.createOrReplaceTempView(f"_{name}")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in fact.schema.fields)
+    number = "(year({0}) * 100 + month({0}))".format
+    key = "(year({0}) * 10000 + month({0}) * 100 + day({0}))".format
+    fact.sparkSession.sql(f"""
+        CREATE OR REPLACE TEMPORARY FUNCTION {name}(date_from DATE, date_to DATE) RETURNS TABLE ({columns})
+        RETURN SELECT {', '.join(fact.columns)} FROM _{name}
+        WHERE {MONTH} BETWEEN {number(f'{name}.date_from')} AND {number(f'{name}.date_to')}
+          AND submission_date_key BETWEEN {key(f'{name}.date_from')} AND {key(f'{name}.date_to')}""")
+
+
 def attach(lake: Lake, number: int | None = None) -> versions.Version:
     """Make every view of a published version callable by name in this session, in SQL too.
 
@@ -64,6 +86,7 @@ def attach(lake: Lake, number: int | None = None) -> versions.Version:
     """
     version = versions.open_version(lake, number)
     register_views(version.tables("marts"), version.read("raw", "claims_header"))
+    register_range_function(version.tables("marts"))
     return version
 
 

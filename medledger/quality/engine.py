@@ -1,7 +1,7 @@
 """Runs the rules over the raw tables and keeps results and failing keys per run.
 
-All row checks of a table share one scan; only the failing keys flow on, and they are written by
-the executors. Counts per rule come from the failing keys. The driver sees the per-rule results
+All row checks of a table share one scan, and all rules on keys one aggregation; only the failing
+keys flow on, and they are written by the executors. Counts per rule come from the failing keys. The driver sees the per-rule results
 only (39 rows).
 """
 
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from medledger.functions import ratio
 from medledger.functions.scalars import MONEY, SHARE
-from medledger.operators.duplicates import repeated_keys, surplus_claims
+from medledger.operators.duplicates import surplus_claims
 from medledger.operators.staging import with_parsed
 from medledger.quality.rules import RECORD_KEY, RULES, WEIGHT, FirstOnly, KnownParent, RowCheck, Rule, UniqueKey
 from medledger.sources import commits
@@ -50,18 +50,54 @@ def _row_failures(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     return hit.select(F.explode_outer(ids).alias("rule_id"), "record_key").filter(F.col("rule_id").isNotNull())
 
 
-def _structural_failures(raw: dict[str, DataFrame], r: Rule) -> DataFrame:
-    df, key = raw[r.table], RECORD_KEY[r.table]
-    if isinstance(r.check, UniqueKey):
-        bad = repeated_keys(df, r.check.key).select(F.col(r.check.key).alias("record_key"))
-    elif isinstance(r.check, FirstOnly):
-        bad = surplus_claims(df)
-    elif isinstance(r.check, KnownParent):
-        parent = raw[r.check.parent].select(F.col(r.check.parent_key).alias("_parent"))
-        bad = df.join(parent, F.col(r.check.key) == F.col("_parent"), "left_anti").select(F.col(key).alias("record_key"))
-    else:
-        raise TypeError(f"rule {r.id} has an unknown check: {r.check!r}")
-    return bad.select(F.lit(r.id).alias("rule_id"), "record_key")
+def _surplus(raw: dict[str, DataFrame], r: Rule) -> DataFrame:
+    return surplus_claims(raw[r.table]).select(F.lit(r.id).alias("rule_id"), "record_key")
+
+
+def _exploded(df: DataFrame, rows: list[Column]) -> DataFrame:
+    return df.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
+
+
+def _key_failures(raw: dict[str, DataFrame], rules: list[Rule]) -> DataFrame:
+    """(rule_id, table_name, record_key) of all rules on keys, from one aggregation.
+
+    A key space is a parent's key, or a unique column. Each row gives its keys, tagged with their space and whether it
+    owns the key or refers to it, in one scan of its table. Folded by (space, key), with counts added up before the
+    shuffle, a key owned more than once is a repeated one, and one that no row owns is lost. The rows that refer to lost
+    keys are then found by an equality join on these; a hot key is one row until there.
+    """
+    def space(table: str, column: str) -> str:
+        return f"{table}.{column}"
+
+    reads: dict[str, set[tuple[str, str, bool]]] = {}
+    for r in rules:
+        if isinstance(r.check, UniqueKey):
+            reads.setdefault(r.table, set()).add((r.check.key, space(r.table, r.check.key), True))
+        else:
+            of = space(r.check.parent, r.check.parent_key)
+            reads.setdefault(r.check.parent, set()).add((r.check.parent_key, of, True))
+            reads.setdefault(r.table, set()).add((r.check.key, of, False))
+    tagged = union_all([
+        _exploded(raw[t], [F.struct(F.lit(of).alias("space"), F.col(c).alias("key"), F.lit(owns).alias("owns")) for c, of, owns in sorted(found)])
+        for t, found in sorted(reads.items())])
+    per_key = tagged.groupBy("space", "key").agg(F.count_if("owns").alias("owners"), F.count_if(~F.col("owns")).alias("children"))
+    # a missing key is a parent of none
+    lost = per_key.filter("children > 0 AND (owners = 0 OR key IS NULL)").select(F.col("space").alias("_space"), F.col("key").alias("_key"))
+    parts = []
+    unique = [r for r in rules if isinstance(r.check, UniqueKey)]
+    if unique:
+        rule_of = F.create_map(*[F.lit(x) for r in unique for x in (space(r.table, r.check.key), r.id)])
+        table_of = F.create_map(*[F.lit(x) for r in unique for x in (space(r.table, r.check.key), r.table)])
+        repeated = per_key.filter(F.col("space").isin(*[space(r.table, r.check.key) for r in unique]) & (F.col("owners") > 1))
+        parts.append(repeated.select(rule_of[F.col("space")].alias("rule_id"), table_of[F.col("space")].alias("table_name"),
+                                     F.col("key").alias("record_key")))
+    for t in dict.fromkeys(r.table for r in rules if isinstance(r.check, KnownParent)):
+        rows = [F.struct(F.lit(r.id).alias("rule_id"), F.lit(space(r.check.parent, r.check.parent_key)).alias("space"),
+                         F.col(r.check.key).alias("key"), F.col(RECORD_KEY[t]).alias("record_key"))
+                for r in rules if r.table == t and isinstance(r.check, KnownParent)]
+        hit = _exploded(raw[t], rows).join(lost, (F.col("space") == F.col("_space")) & F.col("key").eqNullSafe(F.col("_key")))
+        parts.append(hit.select("rule_id", F.lit(t).alias("table_name"), "record_key"))
+    return union_all(parts)
 
 
 def failed_records(raw: dict[str, DataFrame], rules: list[Rule] | None = None) -> DataFrame:
@@ -72,9 +108,14 @@ def failed_records(raw: dict[str, DataFrame], rules: list[Rule] | None = None) -
         row_rules = [r for r in rules if r.table == table and isinstance(r.check, RowCheck)]
         if row_rules:
             parts.append(_row_failures(raw[table], table, row_rules).withColumn("table_name", F.lit(table)))
-        for r in rules:
-            if r.table == table and not isinstance(r.check, RowCheck):
-                parts.append(_structural_failures(raw, r).withColumn("table_name", F.lit(table)))
+    key_rules = [r for r in rules if isinstance(r.check, (UniqueKey, KnownParent))]
+    if key_rules:
+        parts.append(_key_failures(raw, key_rules).select("rule_id", "record_key", "table_name"))
+    for r in rules:
+        if isinstance(r.check, FirstOnly):
+            parts.append(_surplus(raw, r).withColumn("table_name", F.lit(r.table)))
+        elif r not in key_rules and not isinstance(r.check, RowCheck):
+            raise TypeError(f"rule {r.id} has an unknown check: {r.check!r}")
     return union_all(parts).select(
         "rule_id", "table_name", F.coalesce(F.col("record_key").cast("string"), F.lit("None")).alias("record_key"))
 

@@ -44,6 +44,11 @@ class Lake:
            .partitionBy(by).parquet(self.path(layer, name)))
         return self.spark.read.schema(df.schema).parquet(self.path(layer, name))  # there may be no row, so no file
 
+    def replace_all_partitions(self, layer: str, name: str, df: DataFrame, by: str) -> DataFrame:
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+           .partitionBy(by).parquet(self.path(layer, name)))
+        return self.spark.read.schema(df.schema).parquet(self.path(layer, name))
+
     def exists(self, layer: str, name: str) -> bool:
         try:
             self.read(layer, name)

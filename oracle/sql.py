@@ -693,6 +693,42 @@ def bodies() -> dict[str, str]:
     q["ibnr_estimate_by_type"] = f"""
         SELECT claim_type, round({total('billed_amount_pkr', OPEN)} * ({dbl('sum(paid_amount_pkr)')}
                / {dbl('sum(approved_amount_pkr)')}), 6) AS "IBNR Estimate" FROM f_header GROUP BY claim_type"""
+    q["members_of_ranges"] = """
+        WITH used AS (SELECT DISTINCT date_trunc('month', claim_date) AS month_start, claim_type, member_sk FROM claims_x WHERE claim_date IS NOT NULL),
+        months AS (SELECT unnest(generate_series(min(month_start), max(month_start), INTERVAL 1 MONTH)) AS m FROM used),
+        seen AS (SELECT m, claim_type, member_sk FROM months JOIN used ON month_start BETWEEN m - INTERVAL 2 MONTH AND m)
+        SELECT strftime(m, '%Y%m')::INTEGER AS submission_month, claim_type, count(DISTINCT member_sk) AS distinct_members
+        FROM seen GROUP BY ALL
+        UNION ALL SELECT strftime(m, '%Y%m')::INTEGER, 'all', count(DISTINCT member_sk) FROM seen GROUP BY ALL"""
+    q["members_of_a_year"] = """
+        SELECT claim_type, count(DISTINCT member_sk) AS distinct_members FROM claims_x WHERE year(claim_date) = 2025 GROUP BY 1"""
+    took = f"""count({TAT}) AS claims, round(avg({TAT}), 6) AS tat_mean, round(quantile_cont({TAT}, 0.5), 6) AS tat_median,
+        round(quantile_cont({TAT}, 0.9), 6) AS tat_p90"""
+    q["turnaround_of_ranges"] = " UNION ALL ".join(
+        f"""SELECT {a} AS month_from, {mode} AS adjudication_mode, {took} FROM claims_x
+            WHERE submission_date_key // 100 BETWEEN {a} AND {b} AND {TAT} IS NOT NULL GROUP BY 1, 2"""
+        for a, b in ((202407, 202506), (202501, 202503), (202507, 999999)) for mode in ("adjudication_mode", "'all'"))
+    shown = """
+        WITH k AS (SELECT member_id, city, policy_id, TRY_CAST(right(member_id, 4) AS INT) AS n FROM raw_members),
+        seen AS (
+            SELECT member_id, city, policy_id, DATE '2024-07-01' AS taken FROM k WHERE n % 7 <> 0
+            UNION ALL SELECT member_id, city, if(n % 5 = 0, 'POL-other', policy_id), DATE '2025-02-01' FROM k WHERE n % 11 <> 0
+            UNION ALL SELECT member_id, if(n % 3 = 0, 'Elsewhere', city), policy_id, DATE '2025-09-01' FROM k WHERE n % 13 <> 0),
+        days AS (SELECT DISTINCT taken FROM seen),
+        history AS (
+            SELECT member_id, city, policy_id, taken AS valid_from,
+                ifnull((SELECT min(d.taken) FROM days d WHERE d.taken > s.taken AND NOT EXISTS (
+                    SELECT 1 FROM seen x WHERE x.member_id = s.member_id AND x.taken = d.taken AND x.city = s.city
+                    AND x.policy_id = s.policy_id)), DATE '9999-12-31') AS valid_to
+            FROM seen s WHERE NOT EXISTS (
+                SELECT 1 FROM seen p WHERE p.member_id = s.member_id AND p.city = s.city AND p.policy_id = s.policy_id
+                AND p.taken = (SELECT max(d.taken) FROM days d WHERE d.taken < s.taken)))"""
+    q["member_history"] = f"{shown} SELECT *, valid_to = DATE '9999-12-31' AS is_current FROM history"
+    q["claims_as_of_history"] = f"""{shown}
+        SELECT g.claim_id, g.member_id, g.submission_date, h.city, h.policy_id FROM good_claims g
+        LEFT JOIN history h ON h.member_id = g.member_id AND g.submission_date >= valid_from AND g.submission_date < valid_to"""
+    q["claims_table_function"] = f"""
+        SELECT claim_id, claim_type, {money('paid_amount_pkr')} FROM f_header WHERE submission_date_key BETWEEN 20250115 AND 20250310"""
     q["row_level_filter"] = f"""
         SELECT claim_id, employer_group_id, {money('paid_amount_pkr')} FROM claims_x WHERE industry = 'ASIA'"""
     q["billed_by_admission_month"] = f"""

@@ -8,6 +8,7 @@ from medledger.quality import assertions, engine
 from medledger.quality.rules import RULES, Dimension, FirstOnly, Rule, RowCheck, Severity, UniqueKey, missing, rules_by_dimension
 from medledger.sources import versions
 from fixtures.claims import injected_defects
+from fixtures.planted import planted_marts
 from medledger.sources.schemas import RAW_COLUMNS, RAW_TABLES
 from tests.test_cleaning import HEADER, MEMBER
 from tests.test_sources import write_landing
@@ -182,6 +183,26 @@ def test_assertions_see_broken_marts(claims):
     assert {"unique_fct_claim_header_claim_id", "unique_fct_claim_header_claim_sk", "no_duplicate_business_claims"} <= bad
 
 
+def test_every_kind_of_assertion_bites(claims):
+    planted = planted_marts(claims.models())
+    rows = {r.assertion: r for r in assertions.evaluate(planted).collect()}
+    assert len(rows) == 89
+    failing = {n: r.failures for n, r in rows.items() if r.failures}
+    assert {rows[n].kind for n in failing} == {"unique", "not_null", "accepted_values", "relationships", "business"}
+    assert {n for n, r in rows.items() if r.kind == "business"} <= set(failing)
+    header = planted["fct_claim_header"]
+    assert failing["unique_fct_claim_header_claim_id"] == header.groupBy("claim_id").count().filter("count > 1").count()
+    for c, parent in (("member_sk", "dim_member"), ("policy_sk", "dim_policy")):
+        lost = header.filter(f"{c} IS NOT NULL").join(planted[parent].select(c).distinct(), c, "left_anti").count()
+        assert failing[f"relationships_fct_claim_header_{c}"] == lost > 0
+
+
+def test_key_checks_are_one_aggregation(claims):
+    plan = assertions.key_assertions(claims.models())[0]._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert len(shuffles) <= 4, shuffles  # by key, by space, and the join with the list of checks
+
+
 def test_pipeline_end_to_end(claims, lake, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
