@@ -11,11 +11,6 @@ from medledger.operators.joins import null_safe_join
 BLOCK = 100_000
 
 
-def repeated_keys(df: DataFrame, key: str) -> DataFrame:
-    """Each key value that occurs more than once; counts are combined map-side."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
-
-
 def repeated_signatures(headers: DataFrame) -> DataFrame:
     return headers.groupBy(*SIGNATURE).agg(
         F.count(F.lit(1)).alias("occurrence_count"), F.min("claim_id").alias("first_claim_id")
