@@ -108,8 +108,7 @@ def near_duplicate_vectors(
     and a spanning set of links, never all pairs.
 
     Vectors that are null, zero, or hold null, NaN or infinite components link with nothing: n_links 0, their own
-    component, kept. Vectors of different dimensions don't link. Repeated ids: one row each; a class takes its least id.
-    A null id: no links, a null component. No rows: none. Other columns are not read.
+    component, kept. Vectors of different dimensions don't link. Repeated ids: one row each, by its own vector. A null id: no links, a null component. No rows: none. Other columns are not read.
     """
     spark = table.sparkSession
     v = F.col("v")
@@ -117,8 +116,11 @@ def near_duplicate_vectors(
         table[id_col].cast("long").alias("id"), table[vector_col].cast("array<double>").alias("v")
     ).withColumn("fit", F.coalesce(finite(v) & F.exists(v, lambda x: x != 0), F.lit(False)) & F.col("id").isNotNull())
     linkable = rows.filter("fit")
-    grouped = linkable.groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
-    classes = written(grouped.withColumn("dim", F.size("v")), "vector-classes")
+    grouped = linkable.groupBy("v").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    # A class has a number of its own, fixed by the written table: two vectors may stand under one id.
+    classes = written(
+        grouped.withColumns({"dim": F.size("v"), "id": F.monotonically_increasing_id()}), "vector-classes"
+    )
     found = None
     for (dim,) in classes.select("dim").distinct().orderBy("dim").collect():  # one pass each; tables have one dimension
         part = _links_of(spark, classes.filter(F.col("dim") == dim), cosine, lists, subspaces, words, sample, block)
@@ -129,8 +131,10 @@ def near_duplicate_vectors(
     nodes = classes.select("id")
     joined = components(nodes, found.filter("b is not null").select("a", "b"))
     counts = found.filter("b is null").groupBy("a").agg(F.sum("n").alias("n")).withColumnRenamed("a", "id")
+    named = classes.join(joined.withColumnRenamed("component_id", "root"), "id")
+    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     known = (
-        classes.join(joined, "id")
+        named.join(least, "root")
         .join(counts, "id", "left")
         .select("v", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), "component_id")
     )
@@ -261,7 +265,10 @@ class _Block:
             r, c = np.nonzero(far <= (self.reach + self.error[None, :] + 1e-9) ** 2)
             if among:
                 r, c = r[c != r + a], c[c != r + a]
-            exact = np.einsum("ij,ij->i", x[part][r], self.x[c]) >= self.cosine
+            exact = np.zeros(len(r), dtype=bool)
+            for s in range(0, len(r), 8192):  # near copies may be many, and each pair is two whole vectors
+                some = slice(s, s + 8192)
+                exact[some] = np.einsum("ij,ij->i", x[part][r[some]], self.x[c[some]]) >= self.cosine
             r, c = r[exact], c[exact]
             np.add.at(counts, r + a, self.copies[c])
             if not among:

@@ -131,3 +131,12 @@ def test_query_equals_brute_force(spark):
     x /= np.linalg.norm(x, axis=1, keepdims=True)
     linked = x @ x.T >= 0.95
     assert [got[r.vec_id][0] for r in rows] == (linked.sum(axis=1) - 1).tolist()
+
+
+def test_two_vectors_under_one_id(spark):
+    """Each row is a vector of its own: its links are not mixed with those of its namesake."""
+    a, b, far = [1.0, 0.01, 0.0], [0.0, 0.01, 1.0], [0.0, 1.0, 0.0]
+    rows = [(1, a, 0), (1, b, 0), (2, [1.0, 0.0, 0.0], 0), (3, [0.0, 0.0, 1.0], 0), (4, far, 0), (4, far, 0)]
+    found = quantised.near_duplicate_vectors(table(spark, rows), lists=4, subspaces=1, words=4).collect()
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in found)
+    assert got == [(1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 1, 1), (4, 1, 4), (4, 1, 4)]
