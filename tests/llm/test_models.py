@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from medledger.llm import hmm, queries, secrets, toxicity
@@ -198,3 +199,24 @@ def test_secret_query(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(w.startswith(k) for w in want) for k in ("assign", "access", "hex"))
         assert set(want) <= set(r.spans.split(","))
+
+
+def test_a_key_that_a_run_covers_in_part_is_a_candidate_as_a_whole():
+    text = "see 0123456789abcdef0123ZZTOPkey9 and password=hunter2hunter2hunter2 and 0123456789abcdef01"
+    found = secrets.candidates(text, secrets.base_spans(text))
+    assert [w for _, _, w in found] == ["0123456789abcdef0123ZZTOPkey9"]
+
+
+def test_the_sample_is_the_words_of_least_hash(spark):
+    words = [f"{k:020d}zz" for k in range(300)]
+    docs = spark.createDataFrame([(w,) for w in words], "text string").repartition(7)
+    kept = []
+    real = secrets.FormatModel
+    try:
+        secrets.FormatModel = lambda credentials, ordinary: kept.append((credentials, ordinary)) or real(credentials, ordinary)
+        secrets.fit(docs, sample=20)
+    finally:
+        secrets.FormatModel = real
+    want = sorted(words, key=lambda w: xxhash.xxh64_intdigest(w, seed=42))[:20]
+    credentials, ordinary = kept[0]
+    assert ordinary == want and credentials["hex"] == sorted((f"{k:020d}" for k in range(300)), key=lambda w: xxhash.xxh64_intdigest(w, seed=42))[:20]
