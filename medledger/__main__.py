@@ -25,7 +25,7 @@ from medledger.quality import engine
 from medledger.session import build_session
 from medledger.sources import versions
 from medledger.sources.lake import Lake
-from medledger.sources.landing import MalformedRows, ingest_all
+from medledger.sources.landing import AUDIT, MalformedRows, ingest_all
 from medledger.sources.schemas import RAW_TABLES
 
 VIEWS = (*STAR_VIEWS, *RAW_VIEWS)
@@ -53,11 +53,11 @@ def arguments(argv: list[str] | None) -> argparse.Namespace:
 def ingest(lake: Lake, landing: str, on_malformed: str) -> None:
     made = versions.draft(lake)
     ingest_all(made, landing, on_malformed).show(truncate=False)
-    versions.publish(lake, {"raw": dict.fromkeys(RAW_TABLES, made)}, versions.LANDED)
+    versions.publish(lake, {"raw": dict.fromkeys((*RAW_TABLES, AUDIT), made)}, versions.LANDED)
 
 
 def quality(lake: Lake, stop: bool) -> None:
-    run = engine.run(lake, versions.open_version(lake, kind=versions.LANDED).tables("raw"))
+    run = engine.run(lake, versions.open_version(lake, kind=versions.LANDED).tables("raw", RAW_TABLES))
     engine.scores(run.results).orderBy("scope", "name").show(50, truncate=False)
     engine.report(run.results).write.mode("overwrite").json(lake.path("exports", "dq_report"))
     if stop:
@@ -67,7 +67,7 @@ def quality(lake: Lake, stop: bool) -> None:
 def marts(lake: Lake) -> None:
     """Build the star from the tables that landed last, aside; publish it once it is checked."""
     landed, made = versions.open_version(lake, kind=versions.LANDED), versions.draft(lake)
-    built = build_marts(made, landed.tables("raw"))
+    built = build_marts(made, landed.tables("raw", RAW_TABLES))
     check_marts(landed, built)
     build_summaries(made, built, known_members(lake))
     publish_marts(lake, landed.places("raw"), made)

@@ -123,7 +123,8 @@ def _(c: ClaimsLake) -> DataFrame:
     lake = Lake(c.spark, c.lake.path("landing", "job-lake"))
     run_pipeline(lake, Settings(folder, fail_on_critical=False))
     version = versions.open_version(lake)
-    found = [count_rows(df, n).withColumn("part", F.lit(layer)) for layer in ("raw", "marts") for n, df in version.tables(layer).items()]
+    found = [count_rows(df, n).withColumn("part", F.lit(layer)) for layer, names in (("raw", RAW_TABLES), ("marts", None))
+             for n, df in version.tables(layer, names).items()]
     views = smoke_check(version.tables("marts"), version.read("raw", "claims_header"))
     found.append(views.select(F.col("view_name").alias("table_name"), "row_count", F.lit("view").alias("part")))
     for n in ("kpi_summary", "kpi_monthly_trend", "claims_detail", "provider_report", "dq_latest"):

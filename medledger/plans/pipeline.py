@@ -16,7 +16,7 @@ from medledger.plans.views import register_views
 from medledger.quality import assertions, engine
 from medledger.sources import versions
 from medledger.sources.lake import Lake
-from medledger.sources.landing import count_rows, ingest_all, union_all
+from medledger.sources.landing import AUDIT, count_rows, ingest_all, union_all
 from medledger.sources.schemas import RAW_TABLES
 
 
@@ -110,7 +110,7 @@ def run_pipeline(lake: Lake, settings: Settings) -> dict[str, DataFrame]:
     if settings.run_assertions:
         check_marts(made, marts)
     build_summaries(made, marts, known_members(lake))
-    publish_marts(lake, dict.fromkeys(RAW_TABLES, made), made, run.run_id)
+    publish_marts(lake, dict.fromkeys((*RAW_TABLES, AUDIT), made), made, run.run_id)
     register_views(marts, raw["claims_header"])
     if settings.export:
         export_reports(lake, marts, run)

@@ -10,6 +10,9 @@ from medledger.sources.lake import KIND, LOADED, Lake
 from medledger.sources.records import TOO_LONG, WHOLE, cut_blocks, lines_of, look_at_blocks, stitched
 from medledger.sources.schemas import RAW_COLUMNS, RAW_TABLES, raw_schema
 
+#: What the last load of a lake's raw tables counted, stored beside them.
+AUDIT = "_ingest_audit"
+
 #: Partitions beside the loaded rows of a landed table: rows that cannot be read, and pieces of records that cross from
 #: block to block of a file.
 REFUSED, PIECE = "refused", "piece"
@@ -136,7 +139,7 @@ def ingest_all(lake: Lake, landing_dir: str, on_malformed: str = "stop", longest
     audit = lake.spark.createDataFrame(
         [(t, loaded + refused, loaded, refused) for t, _, _, loaded, refused in counts],
         "table_name string, rows_read long, row_count long, rows_refused long")
-    return lake.replace("raw", "_ingest_audit", audit.withColumn("loaded_at", F.current_timestamp()))
+    return lake.replace("raw", AUDIT, audit.withColumn("loaded_at", F.current_timestamp()))
 
 
 def count_rows(df: DataFrame, name: str) -> DataFrame:
