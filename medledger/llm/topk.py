@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,57 +23,92 @@ def segment_statistics(x: np.ndarray, segments: int) -> tuple[np.ndarray, np.nda
     return mean * np.sqrt(sizes), np.sqrt(np.maximum(square - mean * mean, 0) * sizes)
 
 
+def principal_axes(x: np.ndarray) -> np.ndarray:
+    """An orthonormal basis, as columns, whose first axes hold most of the rows' squared length."""
+    return np.linalg.eigh(x.T @ x)[1][:, ::-1]
+
+
+def resolutions(dim: int) -> list[int]:
+    """Numbers of segments from coarse to fine: 1, 2, 4, ... up to half of the components, then three quarters of them."""
+    halves = [1 << k for k in range(dim.bit_length()) if 1 << k <= max(1, dim // 2)]
+    return halves + [3 * dim // 4] * (3 * dim // 4 > halves[-1])
+
+
 class SegmentIndex:
-    """Candidates with their norms and the statistics of 1, 2, 4, ... segments.
+    """Candidates with the statistics of segments at each of the `resolutions`.
 
     Of two vectors, the squared distance is at least the sum over segments of length * ((difference of means)^2 +
-    (difference of deviations)^2), and twice the inner product is both squared norms less the squared distance; so each
-    level gives an upper bound of the inner product, tighter the finer it is.
+    (difference of deviations)^2). The squares of a vector's own statistics add up to its squared norm, so the upper bound
+    of the inner product that follows is the inner product of the statistics: one matrix product a level, tighter the finer
+    it is. A turned basis changes no distance; the principal axes of up to `sample` candidates make neighbouring
+    components alike in size. Scores come from the vectors as given.
     """
 
-    def __init__(self, ids: np.ndarray, x: np.ndarray, finest: int = 16):
+    def __init__(self, ids: np.ndarray, x: np.ndarray, sample: int = 2048):
         self.ids, self.x = ids, x
-        self.levels = []
-        n = 1
-        while n <= min(finest, x.shape[1]):
-            self.levels.append((n, *segment_statistics(x, n)))
-            n *= 2
-        self.norm = (x * x).sum(axis=1)
-
-    def best(self, queries: np.ndarray, own: np.ndarray, k: int, least: np.ndarray) -> Iterator[tuple]:
-        """(query number, candidate ids, scores) that can be among the k best; `least` is each query's bar so far.
-
-        The bar is raised to the k-th best exact score of the candidates that the coarsest bounds favour.
+        self.basis = principal_axes(x[:sample])
+        self.norm = np.sqrt((x * x).sum(axis=1))
+        self.scored = 0
+        turned, self.levels = x @ self.basis, []
+        for n in resolutions(x.shape[1]):
+            self.levels.append((n, np.hstack(segment_statistics(turned, n))))
+
+    def best(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query number, candidate id, score) of each query's k best candidates, ties to the smaller id.
+
+        At each level a query's bar is raised to the k-th best exact score among the candidates that the bounds favour, and
+        those bounded below it are left; what no level rules out is scored. `scored` counts these.
         """
-        norm = (queries * queries).sum(axis=1)
-        stats = [segment_statistics(queries, n) for n, _, _ in self.levels]
-        for q in range(len(queries)):
-            alive = np.flatnonzero(self.ids != own[q])
-            scores = np.full(len(self.ids), np.nan)
-            bar = least[q]
-            for (_, means, spreads), (mean, spread) in zip(self.levels, stats, strict=True):
-                m, s = means[alive] - mean[q], spreads[alive] - spread[q]
-                distance = np.einsum("ij,ij->i", m, m) + np.einsum("ij,ij->i", s, s)
-                bound = (self.norm[alive] + norm[q] - distance) / 2
-                bound += 1e-9 * (self.norm[alive] + norm[q]) + 1e-6  # rounding
-                if len(alive) > 4 * k:
-                    first = alive[np.argpartition(-bound, 4 * k)[: 4 * k]]
-                    scores[first] = self.x[first] @ queries[q]
-                    seen = scores[~np.isnan(scores)]
-                    if len(seen) >= k:
-                        bar = max(bar, np.partition(seen, len(seen) - k)[len(seen) - k])
-                alive = alive[bound >= bar]
-            exact = self.x[alive] @ queries[q]
-            keep = exact >= bar
-            yield q, self.ids[alive[keep]], exact[keep]
-
-
-def _exact(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, x: np.ndarray) -> Iterator[tuple]:
-    """Scores of all candidates in whole numbers of any size, held to the range of a long."""
+        step, out = max(1, (1 << 22) // max(1, len(self.ids))), []
+        for at in range(0, len(queries), step):
+            out.append(self._best(queries[at : at + step], own[at : at + step], k))
+            out[-1][0][:] += at
+        return tuple(np.concatenate(column) for column in zip(*out, strict=True))
+
+    def _best(self, queries: np.ndarray, own: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        turned = queries @ self.basis
+        rounding = 1e-9 * np.sqrt((queries * queries).sum(axis=1))[:, None] * self.norm + 1e-6
+        alive = own[:, None] != self.ids
+        bar = np.full(len(queries), -np.inf)
+        for n, statistics in self.levels:
+            bound = np.hstack(segment_statistics(turned, n)) @ statistics.T
+            bound += rounding
+            bound[~alive] = -np.inf
+            first = np.argpartition(-bound, min(4 * k, bound.shape[1]) - 1, axis=1)[:, : 4 * k]
+            if first.shape[1] >= k:
+                seen = np.empty(first.shape)
+                for q, found in enumerate(first):
+                    seen[q] = self.x[found] @ queries[q]
+                seen[~np.take_along_axis(alive, first, axis=1)] = -np.inf
+                bar = np.maximum(bar, -np.partition(-seen, k - 1, axis=1)[:, k - 1])
+            alive &= bound >= bar[:, None]
+        asked, found = np.nonzero(alive)
+        scores, step = np.empty(len(asked)), max(1, (1 << 22) // self.x.shape[1])
+        for at in range(0, len(asked), step):
+            part = slice(at, at + step)
+            scores[part] = np.einsum("ij,ij->i", queries[asked[part]], self.x[found[part]])
+        self.scored += len(scores)
+        return first_of_each(asked, self.ids[found], scores, k)
+
+
+def first_of_each(asked: np.ndarray, ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Each query's k rows of highest score, ties to the smaller id."""
+    order = np.lexsort((ids, -scores, asked))
+    asked, ids, scores = asked[order], ids[order], scores[order]
+    place = np.arange(len(asked)) - np.searchsorted(asked, asked)
+    return asked[place < k], ids[place < k], scores[place < k]
+
+
+def _exact(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
+    """Each query's k best scores in whole numbers of any size, held to the range of a long."""
     whole, limit = np.vectorize(int, otypes=[object])(x), (1 << 63) - 1
+    out = []
     for q in range(len(queries)):
+        others = ids[ids != own[q]]
         scores = whole[ids != own[q]] @ np.vectorize(int, otypes=[object])(queries[q])
-        yield q, ids[ids != own[q]], np.array([max(-limit, min(limit, s)) for s in scores], dtype=np.int64)
+        held = np.array([max(-limit, min(limit, s)) for s in scores], dtype=np.int64)
+        out.append(first_of_each(np.full(len(others), q), others, held, k))
+    return tuple(np.concatenate(column) for column in zip(*out, strict=True))
 
 
 def _blocks(n: str, size: int) -> Column:
@@ -90,14 +123,15 @@ def top_k(
     vector_col: str = "embedding",
     k: int = 5,
     scale: float = 256.0,
-    query_block: int = 1024,
-    candidate_block: int = 8192,
+    query_block: int = 2048,
+    candidate_block: int = 2048,
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of the table that `is_query` names, the k rows other than itself
     with the highest inner product of floor(scale * component), ties to the smaller vec_id.
 
     Queries and candidates meet in blocks of bounded size: each block of candidates meets each block of queries of its
-    dimension once, and gives each query at most k rows (and ties), which a window with a group limit then merges.
+    dimension once, and gives each query at most k rows, which a window with a group limit then merges. The rows of a
+    meeting are few and its work is much, so they are dealt to spark.sql.shuffle.partitions tasks that are not merged.
 
     Vectors that are null or hold null, NaN or infinite components take no part; vectors meet only those with as many
     components; scores of empty vectors are 0. Rows that repeat a vec_id take part one by one, but none is its own
@@ -122,22 +156,21 @@ def top_k(
 
     def meet(block: pa.Table) -> pa.Table:
         a, b = block.filter(block["asks"]), block.filter(pc.invert(block["asks"]))
-        out = []
+        columns = [np.zeros(0, np.int64)] * 3
         if a.num_rows and b.num_rows:
             x, y = matrix(a["v"]), matrix(b["v"])
             own, ids = a["id"].to_numpy(), b["id"].to_numpy()
             if x.shape[1] == 0:
                 x, y = np.zeros((len(own), 1)), np.zeros((len(ids), 1))
             if np.abs(x).max() * np.abs(y).max() * x.shape[1] >= EXACT:
-                best = _exact(x, own, ids, y)
+                asked, found, scores = _exact(x, own, ids, y, k)
             else:
-                best = SegmentIndex(ids, y).best(x, own, k, np.full(len(own), -np.inf))
-            for q, found, scores in best:
-                order = np.lexsort((found, -scores))[:k]
-                out.append((np.full(len(order), own[q]), found[order], scores[order].astype(np.int64)))
-        columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 3
+                asked, found, scores = SegmentIndex(ids, y).best(x, own, k)
+            columns = [own[asked], found, scores.astype(np.int64)]
         return pa.table([pa.array(c) for c in columns], names=["query_id", "vec_id", "score"])
 
-    found = left.union(right).groupBy("dim", "q", "c").applyInArrow(meet, "query_id long, vec_id long, score long")
+    tasks = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = left.union(right).repartition(tasks, "dim", "q", "c").groupBy("dim", "q", "c")
+    found = met.applyInArrow(meet, "query_id long, vec_id long, score long")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -123,6 +123,35 @@ def test_bounds_hold():
             assert (lower <= ((x - q[k]) ** 2).sum(axis=1) + 1e-6).all()
 
 
+def test_index_scores_few_and_finds_the_best():
+    """Without any structure in the rows, what is scored exactly is the small part; ties and own rows as agreed."""
+    r = np.random.default_rng(5)
+    x = r.normal(size=(3000, 64))
+    x = np.floor(256 * x / np.linalg.norm(x, axis=1, keepdims=True))
+    x[2990:] = x[40]
+    ids = r.permutation(3000) - 1000
+    index = topk.SegmentIndex(ids, x)
+    asked, found, scores = index.best(x[:100], ids[:100], 5)
+    assert index.scored < 0.15 * 100 * len(x)
+    for q in range(100):
+        truth = sorted((-s, i) for i, s in zip(ids.tolist(), (x @ x[q]).tolist(), strict=True) if i != ids[q])[:5]
+        assert truth == [(-s, i) for s, i in zip(scores[asked == q].tolist(), found[asked == q].tolist(), strict=True)]
+
+
+@pytest.mark.parametrize("n, dim", [(1, 1), (3, 1), (4, 2), (7, 3), (30, 5)])
+def test_index_of_few_rows(n, dim):
+    x = np.floor(9 * np.random.default_rng(n).normal(size=(n, dim)))
+    asked, found, scores = topk.SegmentIndex(np.arange(n), x).best(x, np.arange(n), 5)
+    for q in range(n):
+        truth = sorted((-s, i) for i, s in enumerate((x @ x[q]).tolist()) if i != q)[:5]
+        assert truth == [(-s, i) for s, i in zip(scores[asked == q].tolist(), found[asked == q].tolist(), strict=True)]
+
+
+def test_meetings_are_not_merged_into_one_task(spark, rows):
+    plan = topk.top_k(table(spark, rows), F.col("vec_id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan
+
+
 def test_query_equals_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     got = {r.vec_id: (r.n_links, r.component_id) for r in queries.op3_quantised_duplicates(spark, sf).collect()}
