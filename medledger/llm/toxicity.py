@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from medledger.llm.common import fold_of, words_of
@@ -18,10 +17,12 @@ from medledger.llm.common import fold_of, words_of
 #: the lengths differ by what the window itself finds in the one dictionary and not in the other.
 BEFORE = b"0123456789 here a window begins and both dictionaries hold it -> "
 AFTER = b" <- 9876543210 here it ends, and both hold this"
-#: Length differences are held to this range.
-LOW, HIGH = -8, 24
+#: Length differences, ordinary less toxic, are held to LOW..HIGH; what the toxic dictionary saves of the length without one,
+#: to 0..SAVED - 1. A window's place among both is its code.
+LOW, HIGH, SAVED = -8, 24, 16
+CODES, FEATURES = (HIGH - LOW + 1) * SAVED, 23
 _FORMAT = {"format": zstandard.FORMAT_ZSTD1_MAGICLESS, "write_content_size": 0, "write_dict_id": 0, "write_checksum": 0}
-_SEARCH = {"strategy": zstandard.STRATEGY_GREEDY, "min_match": 5, "window_log": 18, "hash_log": 15, "chain_log": 15, "search_log": 4}
+_SEARCH = {"strategy": zstandard.STRATEGY_GREEDY, "min_match": 4, "window_log": 18, "hash_log": 15, "chain_log": 15, "search_log": 4}
 
 
 def windows_of(text: str | None, size: int) -> list[bytes]:
@@ -43,84 +44,99 @@ class Lengths:
         return [len(self.compress(BEFORE + w + AFTER)) for w in windows]
 
 
-def ordinary_dictionary(texts: list[bytes], size: int = 8192, part: int = 200) -> bytes:
-    """zstandard's own trainer on parts of ordinary texts; the texts' ends if there are too few to train on."""
-    parts = [t[i : i + part] for t in texts for i in range(0, min(len(t), 20 * part), part)]
+def trained(samples: list[bytes], size: int, k: int) -> bytes:
+    """zstandard's own trainer on the samples; their ends if there are too few to train on."""
     try:
-        return zstandard.train_dictionary(size, parts, k=64, d=6, level=3).as_bytes()
+        return zstandard.train_dictionary(size, samples, k=k, d=6, level=3).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(parts)[-size:]
+        return b"".join(samples)[-size:]
+
+
+def ordinary_dictionary(texts: list[bytes], size: int = 8192, part: int = 200) -> bytes:
+    """Trained on the whole ordinary texts, cut into parts."""
+    return trained([t[i : i + part] for t in texts for i in range(0, len(t), part)], size, 64)
 
 
-def _grams(text: bytes, n: int) -> np.ndarray:
-    x = np.frombuffer(text, dtype=np.uint8).astype(np.uint64)
-    grams = np.zeros(max(0, len(x) - n + 1), dtype=np.uint64)
-    for i in range(n if len(grams) else 0):
+def _grams(text: bytes, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places and values of the n-byte pieces (n <= 8) that lie in one word, with the space before or after it."""
+    x = np.frombuffer(text, dtype=np.uint8)
+    if len(x) < n:
+        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    grams = np.zeros(len(x) - n + 1, dtype=np.uint64)
+    for i in range(n):
         grams = (grams << np.uint64(8)) | x[i : i + len(grams)]
-    return grams
+    spaces = np.concatenate([[0], (x == 32).cumsum()])
+    at = np.flatnonzero(spaces[n - 1 : n - 1 + len(grams)] == spaces[1 : 1 + len(grams)])
+    return at, grams[at]
 
 
-def _document_shares(texts: list[bytes], n: int) -> tuple[np.ndarray, np.ndarray]:
-    found = [np.unique(_grams(t, n)) for t in texts]
-    grams, counts = np.unique(np.concatenate([*found, np.zeros(0, np.uint64)]), return_counts=True)
-    return grams, counts / max(1, len(texts))
+def _counted(texts: list[bytes], n: int, most: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Distinct pieces, the texts that hold each, its occurrences (`most` at most a text), and the pieces in all."""
+    found = [np.unique(_grams(t, n)[1], return_counts=True) for t in texts]
+    every = np.concatenate([*(g for g, _ in found), np.zeros(0, np.uint64)])
+    times = np.concatenate([*(np.minimum(c, most) for _, c in found), np.zeros(0, np.int64)])
+    pieces, which = np.unique(every, return_inverse=True)
+    held, occurs = np.bincount(which, minlength=len(pieces)), np.bincount(which, times, minlength=len(pieces))
+    return pieces, held, occurs, int(sum(c.sum() for _, c in found))
 
 
-def toxic_dictionary(
-    toxic: list[bytes], ordinary: list[bytes], *, gram: int = 5, least: float = 0.02, ratio: float = 10, size: int = 8192
-) -> bytes:
-    """Segments of toxic texts that ordinary texts lack, the most telling last (nearest to the window).
+def telling_pieces(toxic: list[bytes], ordinary: list[bytes], n: int, *, least: int = 4, ratio: float = 10, margin: float = 10, most: int = 4) -> np.ndarray:
+    """Pieces of n bytes that stand in `least` toxic texts or more, occur `ratio` times as often as in ordinary ones, and
+    whose log likelihood ratio against chance exceeds the logarithm of the number of pieces by `margin`.
 
-    Grams that stand in at least `least` of the toxic texts and `ratio` times as often as in ordinary ones are telling.
-    A segment is a run of them, cut where the share falls below three fifths of the run's best; segments are ranked by
-    share and frequency, up to `size` bytes.
+    These are bars on evidence, not on a share of the texts, so a language with few texts is heard too.
     """
-    grams, share = _document_shares(toxic, gram)
-    others, other_share = _document_shares(ordinary, gram)
-    rival = np.zeros(len(grams))
-    if len(others):
-        at = np.minimum(np.searchsorted(others, grams), len(others) - 1)
-        rival = np.where(others[at] == grams, other_share[at], 0)
-    telling = (share >= max(least, 1.5 / max(1, len(toxic)))) & (share > ratio * rival)
-    grams, share = grams[telling], (share - rival)[telling]
-    if not len(grams):
-        return b""
-    worth: Counter[bytes] = Counter()
+    pieces, held, here, total = _counted(toxic, n, most)
+    others, _, there, other_total = _counted(ordinary, n, most)
+    rival = np.zeros(len(pieces))
+    if len(others) and len(pieces):
+        at = np.minimum(np.searchsorted(others, pieces), len(others) - 1)
+        rival = np.where(others[at] == pieces, there[at], 0)
+    share, both = total / max(1, total + other_total), here + rival
+    with np.errstate(divide="ignore", invalid="ignore"):
+        evidence = here * np.log(here / (both * share))
+        evidence += np.where(rival > 0, rival * np.log(rival / (both * (1 - share))), 0)
+        told = (held >= least) & (evidence > np.log(max(1, len(pieces))) + margin)
+    return pieces[told & (here * other_total > ratio * rival * total)]
+
+
+def toxic_dictionary(toxic: list[bytes], ordinary: list[bytes], *, sizes: tuple = (5, 6, 7, 8), size: int = 8192) -> bytes:
+    """Trained on the whole toxic texts less what does not tell them from ordinary ones: of each text the runs of its
+    telling pieces. Trained on all of it, the dictionary would hold what both classes share."""
+    told = [(n, telling_pieces(toxic, ordinary, n)) for n in sizes]
+    samples = []
     for text in toxic:
-        found = _grams(text, gram)
-        at = np.minimum(np.searchsorted(grams, found), len(grams) - 1)
-        value = np.where(grams[at] == found, share[at], 0)
-        edge = np.diff(np.concatenate([[0], (value > 0).astype(np.int8), [0]]))
-        for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True):
-            run = value[a:b]
-            best = int(run.argmax())
-            weak = np.flatnonzero(run < 0.6 * run[best])
-            start = int(weak[weak < best].max()) + 1 if (weak < best).any() else 0
-            end = int(weak[weak > best].min()) if (weak > best).any() else len(run)
-            worth[text[a + start : a + end + gram - 1]] += float(run[best])
-    kept: list[bytes] = []
-    for segment, value in sorted(worth.items(), key=lambda x: (-x[1], x[0])):
-        if value < 0.003 * len(toxic) or sum(map(len, kept)) + len(segment) > size:
-            break
-        if not any(segment in k for k in kept):
-            kept.append(segment)
-    return b"".join(reversed(kept))
+        edges = np.zeros(len(text) + 1, dtype=np.int64)
+        for n, pieces in told:
+            at, grams = _grams(text, n)
+            at = at[np.isin(grams, pieces)]
+            np.add.at(edges, at, 1)
+            np.add.at(edges, at + n, -1)
+        covered = np.concatenate([[0], (edges.cumsum() > 0).astype(np.int8)])
+        edge = np.diff(covered)
+        runs = zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1), strict=True)
+        samples.append(b"".join(text[a:b] for a, b in runs))
+    return trained([x for x in samples if x], size, 16)
 
 
 def features(histograms: np.ndarray) -> np.ndarray:
-    """Of each text's histogram of length differences (from LOW to HIGH): the largest, means of the largest three and
-    fiftieth part, shares at or over 2, 3, 4 and 5, and the number of windows."""
-    n = histograms.sum(axis=1)
-    down = histograms[:, ::-1].cumsum(axis=1)
+    """Of each text's histogram of codes: of the differences the largest, means of the largest two, three and fiftieth
+    part, windows at or over 2, 3, 4 and 5 as number and share, and the number of windows; of the savings of windows that
+    the toxic dictionary makes shorter, windows at or over 3 to 7 as number and share."""
+    both = histograms.reshape(len(histograms), HIGH - LOW + 1, SAVED)
+    differ, saved = both.sum(axis=2), both[:, 1 - LOW :].sum(axis=1)
+    n = differ.sum(axis=1)
+    down = differ[:, ::-1].cumsum(axis=1)
     values = np.arange(HIGH, LOW - 1, -1)
 
     def mean_of_top(k: np.ndarray) -> np.ndarray:
         taken = np.diff(np.minimum(down, k[:, None]), axis=1, prepend=0)
         return taken @ values / np.maximum(taken.sum(axis=1), 1)
 
-    shares = [np.log1p(1000 * down[:, HIGH - k] / np.maximum(n, 1)) for k in (2, 3, 4, 5)]
-    tops = [mean_of_top(np.full(len(n), 1)), mean_of_top(np.minimum(n, 3)), mean_of_top(np.maximum(n // 50, 1))]
-    return np.stack([*tops, *shares, np.log(np.maximum(n, 1))], axis=1)
+    tops = [mean_of_top(np.full(len(n), k)) for k in (1, 2, 3)] + [mean_of_top(np.maximum(n // 50, 1))]
+    over = [down[:, HIGH - k] for k in (2, 3, 4, 5)] + [saved[:, k:].sum(axis=1) for k in (3, 4, 5, 6, 7)]
+    shares = [np.log1p(1000 * c / np.maximum(n, 1)) for c in over]
+    return np.stack([*tops, *(np.log1p(c) for c in over), *shares, np.log(np.maximum(n, 1))], axis=1)
 
 
 @dataclass
@@ -130,9 +146,9 @@ class CompressionModel:
     toxic: bytes
     ordinary: bytes
     size: int
-    mean: np.ndarray = field(default_factory=lambda: np.zeros(8))
-    spread: np.ndarray = field(default_factory=lambda: np.ones(8))
-    weights: np.ndarray = field(default_factory=lambda: np.zeros(9))
+    mean: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES))
+    spread: np.ndarray = field(default_factory=lambda: np.ones(FEATURES))
+    weights: np.ndarray = field(default_factory=lambda: np.zeros(FEATURES + 1))
 
     def scores(self, histograms: np.ndarray) -> np.ndarray:
         x = (features(histograms) - self.mean) / self.spread
@@ -154,17 +170,17 @@ class CompressionModel:
 
 
 class Scorer:
-    """Length differences of windows, each distinct window compressed once; two bounded generations are remembered."""
+    """Codes of windows: each is compressed with the ordinary dictionary, the toxic one and none. Windows are remembered in
+    two bounded generations."""
 
     def __init__(self, model: CompressionModel, cache: int = 300_000, longest: int = 48):
         self.model, self.cache, self.longest = model, cache, longest
-        self.with_toxic = Lengths(model.ordinary + model.toxic).of
-        self.without = Lengths(model.ordinary).of
+        self.lengths = [Lengths(content).of for content in (model.ordinary, model.toxic, b"")]
         self.young: dict[bytes, int] = {}
         self.old: dict[bytes, int] = {}
 
     def histograms(self, texts: list[str | None]) -> np.ndarray:
-        out = np.zeros((len(texts), HIGH - LOW + 1), dtype=np.int64)
+        out = np.zeros((len(texts), CODES), dtype=np.int64)
         if len(self.young) > self.cache:
             self.old, self.young = self.young, {}
         young = self.young
@@ -177,17 +193,27 @@ class Scorer:
                 else:
                     new.append(w)
             once = {}
-            for w, a, b in zip(new, self.without(new), self.with_toxic(new), strict=True):
-                (young if len(w) <= self.longest else once)[w] = min(HIGH, max(LOW, a - b)) - LOW
+            for w, a, b, c in zip(new, *(of(new) for of in self.lengths), strict=True):
+                code = (min(HIGH, max(LOW, a - b)) - LOW) * SAVED + min(SAVED - 1, max(0, c - b))
+                (young if len(w) <= self.longest else once)[w] = code
             if once:
                 found = [young[w] if w in young else once[w] for w in windows]
             else:
                 found = list(map(young.__getitem__, windows))
             if found:
-                out[k] = np.bincount(found, minlength=out.shape[1])
+                out[k] = np.bincount(found, minlength=CODES)
         return out
 
 
+def spread(text: Column, longest: int, parts: int = 64) -> Column:
+    """The text, or of one with more than `longest` characters that many in parts from its beginning to its end."""
+    part = longest // parts
+    starts = F.sequence(F.lit(0), F.lit(parts - 1))
+    step = (F.length(text) - part) / (parts - 1)
+    cut = F.transform(starts, lambda i: F.substring(text, (1 + F.floor(i * step)).cast("int"), F.lit(part)))
+    return F.when(F.length(text) > longest, F.concat_ws(" ", cut)).otherwise(text)
+
+
 def fit(
     docs: DataFrame,
     labels: DataFrame,
@@ -199,11 +225,13 @@ def fit(
     held_out: int = 1,
     sample: int = 1500,
     size: int = 1,
+    longest: int = 1 << 16,
 ) -> CompressionModel:
     """The model from labelled rows whose crc32(id as text) modulo `folds` is not `held_out`.
 
-    A bounded sample is fitted: of each label the `sample` ids of least hash. Half of it trains the dictionaries, the
-    other half calibrates. Labels that are null or not 0 or 1 are not used. With fewer than two texts of a label in
+    A bounded sample is fitted: of each label the `sample` ids of least hash, each text whole, but of one with over
+    `longest` characters 64 parts spread evenly over it. Calibration is crossed: each half is told apart with the dictionaries trained on the
+    other one, and the weights are fitted to both; the model's dictionaries are then trained on the whole sample. Labels that are null or not 0 or 1 are not used. With fewer than two texts of a label in
     either half, the score is the share of toxic labels (0 if there are none).
     """
     usable = labels.select(labels[id_col].cast("long").alias("id"), labels[label_col].cast("int").alias("y"))
@@ -215,7 +243,7 @@ def fit(
         first = usable.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample)
         order |= {r.id: (y, n) for n, r in enumerate(first.select("id").collect())}
     chosen = docs.sparkSession.createDataFrame([(i, *at) for i, at in order.items()], "id long, y int, n int")
-    texts = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].cast("string").alias("text"))
+    texts = docs.select(docs[id_col].cast("long").alias("id"), spread(docs[text_col].cast("string"), longest).alias("text"))
     rows = texts.join(F.broadcast(chosen), "id").orderBy("y", "n").collect()
     seen: dict[tuple[int, bytes], tuple] = {}
     for r in rows:
@@ -226,14 +254,18 @@ def fit(
     share = totals.get(1, 0) / max(1, sum(totals.values()))
     if min(len(h[y]) for h in half for y in (0, 1)) < 2:
         odds = np.log(share / (1 - share)) if 0 < share < 1 else (-700.0 if not share else 700.0)
-        return CompressionModel(b"", b"", size, weights=np.append(np.zeros(8), odds))
-    toxic, ordinary = ([t for t, _ in half[0][y]] for y in (1, 0))
+        return CompressionModel(b"", b"", size, weights=np.append(np.zeros(FEATURES), odds))
+    parts = [{y: [t for t, _ in h[y]] for y in (0, 1)} for h in half]
+    found, told = [], []
+    for train, other in ((parts[0], half[1]), (parts[1], half[0])):
+        scorer = Scorer(CompressionModel(toxic_dictionary(train[1], train[0]), ordinary_dictionary(train[0]), size))
+        for y in (0, 1):
+            found.append(scorer.histograms([t for _, t in other[y]]))
+            told.append(np.full(len(other[y]), float(y)))
+    toxic, ordinary = (parts[0][y] + parts[1][y] for y in (1, 0))
     model = CompressionModel(toxic_dictionary(toxic, ordinary), ordinary_dictionary(ordinary), size)
-    found = Scorer(model)
-    y = np.array([1.0] * len(half[1][1]) + [0.0] * len(half[1][0]))
-    drawn = len(half[1][1]) / len(half[1][0])
-    shift = np.log(share / (1 - share) / drawn)
-    model.calibrate(found.histograms([t for k in (1, 0) for _, t in half[1][k]]), y, float(shift))
+    shift = np.log(share / (1 - share) / (len(toxic) / len(ordinary)))
+    model.calibrate(np.concatenate(found), np.concatenate(told), float(shift))
     return model
 
 

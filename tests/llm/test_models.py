@@ -74,6 +74,40 @@ def test_toxicity_learns_nothing_from_held_out_rows(labelled):
     assert toxicity.fit(docs, labels).weights.tolist() == toxicity.fit(docs, turned).weights.tolist()
 
 
+def test_toxicity_scores_against_brute_force(labelled):
+    """Every window compressed anew, one at a time, without memory or histograms of arrays."""
+    docs, labels = labelled
+    model = toxicity.fit(docs, labels)
+    a, b, c = (toxicity.Lengths(x).of for x in (model.ordinary, model.toxic, b""))
+    rows = {r.doc_id: r.score for r in toxicity.score_documents(docs, model).collect()}
+    for r in docs.filter("doc_id < 40").collect():
+        codes = Counter()
+        for word in r.text.encode().translate(LOWER).split():
+            (x,), (y,), (z,) = (f([b" " + word + b" "]) for f in (a, b, c))
+            codes[(max(-8, min(24, x - y)) + 8) * 16 + max(0, min(15, z - y))] += 1
+        assert math.isclose(rows[r.doc_id], model.scores(np.array([[codes[k] for k in range(33 * 16)]]))[0], rel_tol=1e-12)
+
+
+def test_toxicity_hears_small_languages(spark):
+    """Precision and recall on held-out rows of the 0.1 tables, and recall by language."""
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op1_compression_toxicity(spark, sf).filter("held_out").join(read_table(spark, sf, "labels"), "doc_id")
+    found = rows.join(read_table(spark, sf, "documents").select("doc_id", "lang"), "doc_id").filter("toxic is not null").collect()
+    caught = [r for r in found if r.predicted]
+    assert sum(r.toxic for r in caught) >= 0.9 * len(caught)
+    assert len([r for r in caught if r.toxic]) >= 0.75 * sum(r.toxic for r in found)
+    for lang in ("de", "fr"):
+        assert sum(r.predicted for r in found if r.toxic and r.lang == lang) > 0.5 * sum(r.toxic for r in found if r.lang == lang)
+
+
+def test_long_texts_give_parts_from_end_to_end(spark):
+    text = "".join(chr(97 + i * 26 // 100_000) for i in range(100_000))
+    rows = spark.createDataFrame([(text,), ("short",), (None,), ("",)], "t string")
+    long, short, none, empty = (r[0] for r in rows.select(toxicity.spread(F.col("t"), 6400)).collect())
+    assert (short, none, empty) == ("short", None, "") and len(long) == 6400 + 63
+    assert long[0] == "a" and long[-1] == "z" and len(set(long)) == 27
+
+
 # Hidden Markov model
 
 
