@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from medledger.functions import surrogate_key
 from medledger.operators import star as star_ops
 from medledger.plans.pipeline import marts_on_use
+from medledger.quality import engine
+from medledger.quality.rules import RULES, KnownParent, UniqueKey
 from medledger.sources.lake import Lake, OnUse
 from medledger.sources.schemas import RAW_COLUMNS
 from tests.test_cleaning import HEADER
@@ -78,3 +80,20 @@ def test_what_follows_from_a_row_is_not_shuffled(spark, tmp_path):
     assert plan.index("md5(") < plan.index("RebalancePartitions")
     stored = lake.replace_by_month("marts", "l", lines, "submission_date_key", star_ops.line_fact)
     assert stored.columns == [*star_ops.line_fact(lines).columns, "submission_month"] and stored.count() == 3
+
+
+def test_lost_and_repeated_keys_are_stored_before_rows_are_matched(spark, tmp_path):
+    lake, raw = Lake(spark, str(tmp_path)), dict(raw_of(spark, []))
+    raw["providers"] = raw["providers"].union(raw["providers"])
+    rules = [r for r in RULES if isinstance(r.check, (UniqueKey, KnownParent))]
+    kept = []
+
+    def keep(keys):
+        kept.append(keys)
+        return lake.replace("work", "bad_keys", keys)
+
+    found = engine.failed_records(raw, rules, keep)
+    assert sorted(map(str, found.collect())) == sorted(map(str, engine.failed_records(raw, rules).collect())) != []
+    assert len(kept) == 1
+    assert kept[0].filter("space = 'providers.provider_id' AND key = 'P1' AND owners = 2").count() == 1
+    assert kept[0].filter("NOT (owners > 1 OR (children > 0 AND (owners = 0 OR key IS NULL)))").isEmpty()
