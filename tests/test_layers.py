@@ -4,6 +4,9 @@ from pyspark.sql import functions as F
 
 from medledger.functions import surrogate_key
 from medledger.operators import star as star_ops
+from medledger.operators.cleaning import first_per_signature, repeated_signatures
+from medledger.operators.staging import stage
+from medledger.plans.clinical import v_readmissions
 from medledger.plans.pipeline import marts_on_use
 from medledger.quality import engine
 from medledger.quality.rules import RULES, KnownParent, UniqueKey
@@ -97,3 +100,55 @@ def test_lost_and_repeated_keys_are_stored_before_rows_are_matched(spark, tmp_pa
     assert len(kept) == 1
     assert kept[0].filter("space = 'providers.provider_id' AND key = 'P1' AND owners = 2").count() == 1
     assert kept[0].filter("NOT (owners > 1 OR (children > 0 AND (owners = 0 OR key IS NULL)))").isEmpty()
+
+
+def test_a_fact_is_not_shuffled_once_more_for_its_months(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    rows = spark.range(0, 60, 1, 3).selectExpr("id", "cast(20250101 + 100 * (id % 2) AS int) AS day")
+    stored = lake.replace_by_month("marts", "f", rows, "day")
+    assert sorted(r.id for r in stored.filter("submission_month = 202502").collect()) == list(range(1, 60, 2))
+    assert len(list((tmp_path / "marts/f/submission_month=202501").glob("*.parquet"))) == 3  # one from each task
+
+
+def test_only_rows_of_repeated_signatures_are_shuffled(spark, tmp_path):
+    signatures = [("M1", "P1", "2025-01-01", "5.00")] * 3 + [("M1", "", "", "5.00")] * 2 + [("M2", "P1", "2025-01-01", "x")] + [("M3",) * 4]
+    rows = []
+    for k, (member, provider, day, billed) in enumerate(signatures):
+        row = {**HEADER, "claim_id": ["C2", "C1", "C1", None, "C0", "", None][k], "member_id": member, "provider_id": provider,
+               "admission_date": day, "billed_amount_pkr": billed}
+        rows.append([row.get(c, "") for c in RAW_COLUMNS["claims_header"]])
+    headers = stage("claims_header", spark.createDataFrame(rows, ", ".join(f"{c} string" for c in RAW_COLUMNS["claims_header"])))
+    listed = Lake(spark, str(tmp_path)).replace("work", "repeated", repeated_signatures(headers))
+    assert listed.count() == 2
+    found = first_per_signature(headers, listed)
+    assert sorted(map(str, found.collect())) == sorted(map(str, first_per_signature(headers).collect()))
+    assert found.count() == 4
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" in plan and plan.count("WindowGroupLimit") <= 1 and plan.index("LeftAnti") < plan.index("Window [")
+
+
+def test_lines_meet_their_headers_before_the_code_books(spark):
+    lines = spark.sql("SELECT 'L' AS claim_line_id, 'C' AS claim_id, 1 AS line_no, 'PX' AS procedure_code, 'D' AS diagnosis_code, "
+                      "2BD AS quantity, 1BD AS unit_price_pkr, 9BD AS line_billed_pkr, 4BD AS line_approved_pkr")
+    header = spark.sql("SELECT 'C' AS claim_id, 'm' AS member_sk, 'p' AS provider_sk, 20250101 AS submission_date_key, 'x' AS claim_type, 'y' AS status")
+    book = spark.range(1).selectExpr("'D' AS diagnosis_code", "'d' AS diagnosis_sk")
+    odd = spark.range(1).selectExpr("'PY' AS procedure_code", "false AS procedure_known")
+    found = star_ops.accepted_lines(lines, header, {"dim_diagnosis": book}, odd)
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert plan.index("LeftOuter") < plan.index("Inner")  # the outermost joins are printed first
+    assert found.first().diagnosis_sk == "d" and found.first().procedure_known
+
+
+def test_admissions_are_shuffled_once(spark):
+    claims = spark.sql("SELECT * FROM VALUES ('a', 'm', 20250101), ('b', 'm', 20250110), ('c', 'm', 20250301), ('d', null, 20250102), "
+                       "('e', 'm', null) t(claim_id, member_sk, admission_date_key)").withColumn("claim_type", F.lit("Inpatient"))
+    lines = claims.selectExpr("claim_id", "claim_type", "1 AS line_no", "claim_id AS claim_line_id", "'d' AS diagnosis_sk")
+    star = {"fct_claim_header": claims, "fct_claim_line": lines, "dim_diagnosis": spark.sql("SELECT 'd' AS diagnosis_sk, 'x' AS chapter")}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = v_readmissions(star)
+        assert [(r.index_claim_id, r.readmit_claim_id, r.days_between) for r in found.collect()] == [("a", "b", 9)]
+        assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
