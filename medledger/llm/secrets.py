@@ -12,6 +12,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from medledger.llm.common import written
+
 #: The base patterns and the least length of what they must find.
 ASSIGN = re.compile(
     r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII | re.IGNORECASE
@@ -53,6 +55,8 @@ _CLASS[[ord(c) for c in "ghijklmnopqrstuvwxyz"]] = 2
 _CLASS[[ord(c) for c in "ABCDEF"]] = 3
 _CLASS[[ord(c) for c in "GHIJKLMNOPQRSTUVWXYZ"]] = 4
 CLASSES, END = 6, 6
+#: Automata learn words to this letter.
+DEEPEST = 64
 _TO_CLASS = {i: chr(int(c)) for i, c in enumerate(_CLASS)}
 
 
@@ -69,20 +73,32 @@ class Automaton:
     stays deterministic. A move never seen has the probability of half a count. Words are learnt to their letter `deepest`.
     """
 
-    def __init__(self, words: Iterable[list[int]], alpha: float = 0.05, deepest: int = 64):
-        self.next: list[dict[int, int]] = [{}]
-        self.count: list[list[int]] = [[0] * (CLASSES + 1)]
+    def __init__(self, words: Iterable[list[int]], alpha: float = 0.05, deepest: int = DEEPEST):
+        prefixes: dict[str, list[int]] = {}
         for word in words:
-            at = 0
-            for c in word[:deepest]:
-                self.count[at][c] += 1
-                if c not in self.next[at]:
-                    self.next[at][c] = len(self.next)
-                    self.next.append({})
-                    self.count.append([0] * (CLASSES + 1))
-                at = self.next[at][c]
+            text = "".join(map(str, word[:deepest]))
+            for k, c in enumerate(word[:deepest]):
+                prefixes.setdefault(text[:k], [0] * (CLASSES + 1))[c] += 1
+            end = prefixes.setdefault(text, [0] * (CLASSES + 1))
             if len(word) <= deepest:  # a word that is cut does not end there
-                self.count[at][END] += 1
+                end[END] += 1
+        self._infer(prefixes, alpha)
+
+    @classmethod
+    def counted(cls, prefixes: dict[str, list[int]], alpha: float = 0.05) -> Automaton:
+        """The automaton of words that are counted already: by prefix, as digits of its classes, how many words go on with
+        each class, and how many end. A prefix of which there is no count is a state without evidence: that of the start."""
+        made = cls.__new__(cls)
+        made._infer(prefixes, alpha)
+        return made
+
+    def _infer(self, prefixes: dict[str, list[int]], alpha: float) -> None:
+        order = sorted({"", *prefixes}, key=lambda x: (len(x), x))
+        place = {x: k for k, x in enumerate(order)}
+        self.next: list[dict[int, int]] = [{} for _ in order]
+        self.count: list[list[int]] = [list(prefixes.get(x, [0] * (CLASSES + 1))) for x in order]
+        for x in order[1:]:
+            self.next[place[x[:-1]]][int(x[-1])] = place[x]
         self.bound = math.sqrt(0.5 * math.log(2 / alpha))
         self._merge()
         self._number()
@@ -183,6 +199,15 @@ class FormatModel:
         if ordinary and self.kinds:
             self.threshold = max(least, float(np.quantile(self.ratio(ordinary), 0.999)))
 
+    @classmethod
+    def counted(cls, prefixes: dict[str, dict[str, list[int]]], words: dict[str, int], enough: int = 20) -> FormatModel:
+        """The model of the counted prefixes and the number of words by kind; its threshold is still to be set."""
+        made = cls.__new__(cls)
+        made.kinds = {k: Automaton.counted(prefixes[k]) for k in KINDS[:3] if words.get(k, 0) >= enough}
+        made.ordinary = Automaton.counted(prefixes.get("format", {}))
+        made.threshold = 0.5
+        return made
+
     def ratio(self, words: list[str]) -> np.ndarray:
         if not self.kinds or not words:
             return np.full(len(words), -np.inf)
@@ -219,40 +244,134 @@ class _Sample:
                 self.most = max(self.words)
 
 
-def fit(docs: DataFrame, *, text_col: str = "text", sample: int = 1000, longest: int = 128) -> FormatModel:
+def fit(docs: DataFrame, *, text_col: str = "text", sample: int | None = None, longest: int = 128, states: int = 1000) -> FormatModel:
     """The model: what the base patterns find are labelled credentials, other long words the ordinary ones.
 
-    A bounded sample is fitted: of each kind and of ordinary words the `sample` distinct words of least hash over all
-    rows, cut at `longest` letters (of which the automata learn the first 64). The hash is the same in the tasks and
-    between them. Each task hands on at most `sample` words a kind; these are thinned by parts of their hash first, so that
-    what one task sees of a kind does not grow with the tasks. No rows, no long words: a model that finds nothing.
+    All distinct words of all rows are learnt, cut at `longest` letters (of which the automata learn the first 64). Spark
+    counts how many words of a kind go on with each class after each prefix of classes; an automaton is inferred from the
+    counts of the prefixes that at least one word in `states` begins with, so it holds `states` of each length at most however
+    many words there are, and a rarer prefix goes on from the start. The threshold is counted over all ordinary words.
+
+    With `sample`, a caller's own choice, the distinct words of least hash are fitted instead, so many a kind. No rows, no
+    long words: a model that finds nothing.
     """
+    if sample is not None:
+        return FormatModel(*_least(_distinct_words(docs, text_col, longest, sample), sample))
+    words = written(_distinct_words(docs, text_col, longest, None), "secret-words")
+    # a word in capitals is a word still
+    ordinary = F.col("kind") == "format"
+    learnt = words.select("kind", F.explode(F.when(ordinary, F.array("word", F.upper("word"))).otherwise(F.array("word"))).alias("word"))
+    totals = {r.kind: r.n for r in learnt.groupBy("kind").agg(F.count("*").alias("n")).collect()}
+    model = FormatModel.counted(_prefixes(learnt, totals, states), totals)
+    if model.kinds and totals.get("format"):
+        model.threshold = max(model.threshold, _exceeded_by_one_in_a_thousand(learnt.filter(ordinary), model, totals["format"]))
+    return model
+
+
+def _distinct_words(docs: DataFrame, text_col: str, longest: int, sample: int | None) -> DataFrame:
+    """(kind, word), distinct: credentials by the base pattern that finds them, and the candidates as kind format. With
+    `sample`, each task hands on that many of least hash a kind, else those of each batch once."""
 
     def gather(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = {k: _Sample(sample) for k in KINDS}
+        kept = {k: _Sample(sample) for k in KINDS} if sample is not None else None
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
+                found = set()
                 for text in batch.column(0).slice(at, 256).to_pylist():
                     spans = base_spans(text or "")
-                    for span in spans:
-                        kept[KINDS[span[1]]].add(credential(text, span)[:longest])
-                    for _, _, word in candidates(text or "", spans):
-                        kept["format"].add(word[:longest])
-        rows = [(k, w) for k, x in kept.items() for _, w in sorted(x.words.items())[:sample]]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], ["kind", "word"]
-        )
+                    found.update((KINDS[span[1]], credential(text, span)[:longest]) for span in spans)
+                    found.update(("format", word[:longest]) for _, _, word in candidates(text or "", spans))
+                if kept is None:
+                    yield _words(sorted(found))
+                else:
+                    for kind, word in found:
+                        kept[kind].add(word)
+        if kept is not None:
+            yield _words([(k, w) for k, x in kept.items() for _, w in sorted(x.words.items())[:sample]])
 
     rows = docs.select(docs[text_col].cast("string").alias("text")).mapInArrow(gather, "kind string, word string")
+    return rows.distinct()
+
+
+def _words(rows: list[tuple[str, str]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.string())], ["kind", "word"]
+    )
+
+
+def _least(rows: DataFrame, sample: int) -> tuple[dict[str, list[str]], list[str]]:
+    """Credentials by kind and ordinary words: of each the `sample` of least hash, thinned by parts of their hash first, so
+    that what one task sees of a kind does not grow with the tasks."""
     unsigned = F.xxhash64("word").bitwiseXOR(F.lit(-(1 << 63)))
-    chosen = rows.distinct().withColumns({"h": unsigned, "part": F.pmod(F.xxhash64("word"), F.lit(64))})
+    chosen = rows.withColumns({"h": unsigned, "part": F.pmod(F.xxhash64("word"), F.lit(64))})
     for of in (("kind", "part"), ("kind",)):
         least = F.row_number().over(Window.partitionBy(*of).orderBy("h", "word"))
         chosen = chosen.withColumn("n", least).filter(F.col("n") <= sample)
     by_kind: dict[str, list[str]] = {k: [] for k in KINDS}
     for row in chosen.orderBy("kind", "n").collect():
         by_kind[row.kind].append(row.word)
-    return FormatModel({k: by_kind[k] for k in KINDS[:3]}, by_kind["format"])
+    return {k: by_kind[k] for k in KINDS[:3]}, by_kind["format"]
+
+
+#: Letters and the digits of their classes, as `translate` takes them; all others are of class 5.
+_LETTERS = "".join(chr(i) for i in range(128) if _CLASS[i] < 5)
+_DIGITS = "".join(str(_CLASS[ord(c)]) for c in _LETTERS)
+
+
+def _prefixes(learnt: DataFrame, totals: dict[str, int], states: int) -> dict[str, dict[str, list[int]]]:
+    """By kind and prefix of classes: how many words go on with each class, and how many end. Equal words of classes are one
+    row before they are cut into prefixes; a prefix of less than one word in `states` is left out, but is in its parent's counts."""
+    digits = F.translate(F.regexp_replace("word", "[^A-Za-z0-9]", "/"), _LETTERS + "/", _DIGITS + "5")
+    whole = learnt.groupBy("kind", digits.alias("classes")).agg(F.count("*").alias("n"))
+    cut = F.least(F.length("classes"), F.lit(DEEPEST))
+    steps = whole.select(
+        "kind", "n", "classes", F.explode(F.sequence(F.lit(0), cut)).alias("at")
+    ).filter((F.col("at") < F.length("classes")) & (F.col("at") < DEEPEST) | (F.col("at") == F.length("classes")))
+    goes_on = F.when(F.col("at") == F.length("classes"), F.lit(END)).otherwise(
+        F.substring("classes", F.col("at") + 1, F.lit(1)).cast("int"))
+    counts = steps.select("kind", "n", F.substring("classes", F.lit(1), F.col("at")).alias("prefix"), goes_on.alias("c")).groupBy(
+        "kind", "prefix").agg(*(F.sum(F.when(F.col("c") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(CLASSES + 1)))
+    held = sum((F.col(f"c{c}") for c in range(CLASSES + 1)), F.lit(0))
+    least = F.lit(0)
+    for kind, n in totals.items():
+        least = F.when(F.col("kind") == kind, -(-n // states)).otherwise(least)
+    found: dict[str, dict[str, list[int]]] = {k: {} for k in KINDS}
+    for r in counts.filter(held >= least).collect():
+        found[r.kind][r.prefix] = [r[f"c{c}"] for c in range(CLASSES + 1)]
+    return found
+
+
+def _exceeded_by_one_in_a_thousand(ordinary: DataFrame, model: FormatModel, total: int) -> float:
+    """The 0.999 quantile of the scores of all ordinary words, interpolated between its neighbours, each to a millionth:
+    scores are counted in bins of a thousandth, then those of a neighbour's bin in bins of a millionth."""
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                yield pa.RecordBatch.from_arrays([pa.array(model.ratio(batch.column(0).slice(at, 4096).to_pylist()))], ["score"])
+
+    scored = written(ordinary.select("word").mapInArrow(score, "score double"), "secret-scores")
+    place = 0.999 * (total - 1)
+
+    def bins(rows: DataFrame, a_unit: int) -> list:
+        key = F.floor(F.col("score") * a_unit).alias("bin")
+        return rows.groupBy(key).agg(F.count("*").alias("n"), F.min("score").alias("least")).orderBy("bin").collect()
+
+    def holding(found: list, k: int) -> tuple:
+        """The bin of the score of rank k, and how many come before it."""
+        before = 0
+        for r in found:
+            if k < before + r.n:
+                return r, before
+            before += r.n
+        raise ValueError(f"no score of rank {k}")
+
+    coarse, neighbours = bins(scored, 1000), []
+    for k in (math.floor(place), math.ceil(place)):
+        r, before = holding(coarse, k)
+        fine = bins(scored.filter(F.floor(F.col("score") * 1000) == r.bin), 1_000_000)
+        neighbours.append(holding(fine, k - before)[0].least)
+    return neighbours[0] + (neighbours[1] - neighbours[0]) * (place - math.floor(place))
 
 
 def all_spans(model: FormatModel, texts: list[str | None]) -> list[list[tuple[int, int, int]]]:

@@ -254,3 +254,22 @@ def test_the_sample_is_the_words_of_least_hash(spark):
     want = sorted(words, key=lambda w: xxhash.xxh64_intdigest(w, seed=42))[:20]
     credentials, ordinary = kept[0]
     assert ordinary == want and credentials["hex"] == sorted((f"{k:020d}" for k in range(300)), key=lambda w: xxhash.xxh64_intdigest(w, seed=42))[:20]
+
+
+def test_every_word_counts_for_the_automata(spark):
+    r = random.Random(4)
+    plain = ["".join(r.choices(["tion", "en", "be", "schaft", "X"], k=r.randint(5, 24))) for _ in range(1500)]
+    hexes = ["".join(r.choices("0123456789abcdef", k=r.randint(16, 90))) for _ in range(1200)]
+    docs = spark.createDataFrame([(f"{p} {h}",) for p, h in zip(plain, hexes + hexes[:300], strict=True)], "text string")
+    ordinary = sorted({w for p in plain for _, _, w in secrets.candidates(p, secrets.base_spans(p))})
+    assert len(ordinary) > 1000
+    want = secrets.FormatModel({"hex": hexes}, ordinary)
+    found = secrets.fit(docs, states=10**9)
+    words = hexes[:50] + ordinary[:50] + ["tion" * 40, "0" * 200]
+    assert np.allclose(found.ratio(words), want.ratio(words)) and abs(found.threshold - want.threshold) < 2e-6
+
+
+def test_rare_prefixes_leave_their_count_with_their_parent(spark):
+    learnt = spark.createDataFrame([("hex", "ab0")] * 9 + [("hex", "a1")], "kind string, word string")
+    assert secrets._prefixes(learnt, {"hex": 10}, 5)["hex"] == {
+        "": [0, 10, 0, 0, 0, 0, 0], "1": [1, 9, 0, 0, 0, 0, 0], "11": [9, 0, 0, 0, 0, 0, 0], "110": [0, 0, 0, 0, 0, 0, 9]}
