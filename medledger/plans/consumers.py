@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import ChainMap
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -50,14 +51,14 @@ class Filters:
 def filtered(star: Star, filters: Filters | None, columns: list[str]) -> DataFrame:
     """The enriched claims a page works on, with its filter below the aggregation."""
     f = filters or Filters()
-    star = {**star, "fct_claim_header": submitted_between(star["fct_claim_header"], f.date_from, f.date_to)}
+    star = ChainMap({"fct_claim_header": submitted_between(star["fct_claim_header"], f.date_from, f.date_to)}, star)
     extra = [c for c in f.reads() if c not in columns]
     return enriched(star, [*columns, *extra]).filter(f.condition()).select(*columns)
 
 
 def claims_between(star: Star, date_from: str, date_to: str, columns: list[str] | None = None) -> DataFrame:
     """Parameterised date-range read with plain numeric amounts."""
-    cut = {**star, "fct_claim_header": submitted_between(star["fct_claim_header"], date_from, date_to)}
+    cut = ChainMap({"fct_claim_header": submitted_between(star["fct_claim_header"], date_from, date_to)}, star)
     c = enriched(cut, columns)
     return c.withColumns({a: F.col(a).cast("double") for a in (
         "billed_amount_pkr", "approved_amount_pkr", "paid_amount_pkr") if a in c.columns})
@@ -241,7 +242,7 @@ def drill_through(star: Star, column: str, keys: str | DataFrame, columns: list[
     dimension first, and the fact is cut by surrogate key through a semi-join."""
     dim, sk = {"provider_id": ("dim_provider", "provider_sk"), "member_id": ("dim_member", "member_sk")}[column]
     found = star[dim].filter(F.col(column) == keys) if isinstance(keys, str) else star[dim].join(keys, column, "left_semi")
-    cut = {**star, "fct_claim_header": star["fct_claim_header"].join(found.select(sk), sk, "left_semi")}
+    cut = ChainMap({"fct_claim_header": star["fct_claim_header"].join(found.select(sk), sk, "left_semi")}, star)
     return enriched(cut, columns)
 
 

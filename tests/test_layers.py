@@ -6,6 +6,7 @@ from medledger.functions import surrogate_key
 from medledger.operators import star as star_ops
 from medledger.operators.cleaning import first_per_signature, repeated_signatures
 from medledger.operators.staging import stage
+from medledger.plans import consumers
 from medledger.plans.clinical import v_readmissions
 from medledger.plans.pipeline import marts_on_use
 from medledger.quality import engine
@@ -152,3 +153,11 @@ def test_admissions_are_shuffled_once(spark):
         assert "ReusedExchange" in found._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_page_over_headers_stores_no_lines(spark, tmp_path):
+    asked, lake = [], Lake(spark, str(tmp_path))
+    marts = marts_on_use(lake, raw_of(spark, asked))
+    consumers.spend_by_city(marts)
+    consumers.claims_between(marts, "2025-01-01", "2025-12-31", ["claim_id"])
+    assert "claims_lines" not in asked and not lake.exists("marts", "fct_claim_line")
