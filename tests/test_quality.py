@@ -1,6 +1,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from medledger.functions import register_sql_functions  # noqa: F401
 from medledger.plans.pipeline import AssertionsFailed, Settings, check_marts, run_pipeline
@@ -197,6 +198,25 @@ def test_every_kind_of_assertion_bites(claims):
         assert failing[f"relationships_fct_claim_header_{c}"] == lost > 0
 
 
+def test_keys_are_folded_by_digest_and_lost_lines_without_another_join(claims):
+    m = dict(claims.models())
+    m["fct_claim_line"] = m["fct_claim_line"].withColumn(
+        "claim_id", F.expr("CASE right(claim_line_id, 1) WHEN '1' THEN 'none' WHEN '2' THEN NULL ELSE claim_id END"))
+    lost = m["fct_claim_line"].join(m["fct_claim_header"], "claim_id", "left_anti").count()
+    found = assertions.evaluate(m)
+    rows = {r.assertion: r.failures for r in found.collect()}
+    assert rows["lines_have_header"] == lost == (
+        rows["relationships_fct_claim_line_claim_id"] + rows["not_null_fct_claim_line_claim_id"]) and len(rows) == 89
+    assert 0 < rows["not_null_fct_claim_line_claim_id"] < lost
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "LeftAnti" not in plan and "hashpartitioning(key" not in plan and "hashpartitioning(member_sk" not in plan
+
+
+def test_a_missing_value_is_told_from_the_others_in_a_digest(spark):
+    rows = spark.createDataFrame([("a", None), (None, "a"), ("a", "a"), (None, None), ("", None)], "x string, y string")
+    assert rows.select(*assertions.digest(F.col("x"), F.col("y"))).distinct().count() == 5
+
+
 def test_key_checks_are_one_aggregation(claims):
     plan = assertions.key_assertions(claims.models())[0]._jdf.queryExecution().executedPlan().toString()
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
