@@ -1,5 +1,7 @@
 """Tables are stored on use, packed, and no shuffle carries what follows from a row or looks up what is in a book once."""
 
+import time
+
 from pyspark.sql import functions as F
 
 from medledger.functions import surrogate_key
@@ -11,7 +13,9 @@ from medledger.plans.clinical import v_readmissions
 from medledger.plans.pipeline import marts_on_use
 from medledger.quality import engine
 from medledger.quality.rules import RULES, KnownParent, UniqueKey
+from medledger.session import tune
 from medledger.sources.lake import Lake, OnUse
+from medledger.sources.landing import ingest_table, write_text_csv
 from medledger.sources.schemas import RAW_COLUMNS
 from tests.test_cleaning import HEADER
 
@@ -56,6 +60,31 @@ def test_stored_tables_are_packed_and_their_shuffles_deleted(spark, tmp_path):
         assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
 
 
+def test_shuffles_of_a_query_are_deleted_when_it_is_done(spark):
+    def shuffles():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    tune(spark)
+    before, until = shuffles(), time.time() + 20
+    counted = spark.range(0, 99, 1, 4).groupBy((F.col("id") % 7).alias("k")).count()
+    assert len(counted.collect()) == 7
+    while shuffles() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffles() - before
+    assert len(counted.collect()) == 7  # it is made once more if need be
+
+
+def test_packed_landing_files_are_loaded_whole(spark, tmp_path):
+    providers = spark.range(0, 500, 1, 3).select(*[F.concat(F.lit(f'{c}, "'), "id").alias(c) for c in RAW_COLUMNS["providers"]])
+    write_text_csv(providers, str(tmp_path / "in/providers.csv"), packed_by="gzip")
+    assert len(list((tmp_path / "in/providers.csv").glob("*.csv.gz"))) == 3
+    lake = Lake(spark, str(tmp_path / "lake"))
+    ingest_table(lake, str(tmp_path / "in"), "providers")
+    found = lake.read("raw", "providers")
+    assert found.count() == 500 and found.exceptAll(providers).isEmpty()
+
+
 def test_procedures_are_looked_up_as_often_as_the_book_has_them(spark):
     lines = spark.createDataFrame(
         [(code, code, "C1") for code in ("once", "twice", "lacking", None)], "claim_line_id string, procedure_code string, claim_id string",
