@@ -102,3 +102,25 @@ def test_table_function_prunes_months(spark, claims):
     assert "paid_amount_pkr" not in plan.split("ReadSchema:")[1]
     assert df.count() == claims.marts["fct_claim_header"].filter(F.col("submission_date_key").between(20250115, 20250210)).count() > 0
     assert spark.sql("SELECT count(*) AS n FROM claims_submitted_between(DATE'2025-02-10', DATE'2025-01-15')").first().n == 0
+
+
+def test_bitmaps_shuffle_the_claims_once_and_a_busy_member_as_one_row(spark):
+    busy = spark.range(0, 3000, 1, 2).selectExpr("'busy' AS member_sk", "if(id % 2 = 0, 'Inpatient', NULL) AS claim_type",
+                                                 "if(id % 5 = 0, NULL, 202501 + int(id % 3)) AS submission_month")
+    others = spark.sql("SELECT * FROM VALUES ('m', 'Inpatient', 202501), (NULL, 'Inpatient', 202501), ('lost', 'Inpatient', 202501) "
+                       "AS t(member_sk, claim_type, submission_month)")
+    fact = busy.union(others)
+    numbers = spark.sql("SELECT * FROM VALUES ('busy', 1L), ('m', 2L) AS t(member_sk, member_no)")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bits = summaries.member_bitmaps(fact, numbers)
+        plan = bits._jdf.queryExecution().executedPlan().toString()
+        found = {(r.submission_month, r.claim_type): r.n for r in bits.select("*", F.bitmap_count("bits").alias("n")).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    dealt = [x.split("hashpartitioning(")[1].split("#")[0] for x in plan.splitlines() if "Exchange hashpartitioning" in x]
+    assert sorted(dealt) == ["member_sk", "member_sk", "submission_month"], plan
+    assert "partial_collect_set" in plan
+    want = {(m, t): 1 for m in (202501, 202502, 202503) for t in ("Inpatient", None)} | {(202501, "Inpatient"): 2}
+    assert found == want
